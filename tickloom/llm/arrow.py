@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from ..ship import ship
+
 #: Text bytes that one Arrow slice may hold before it is cut into smaller ones.
 SLICE_BYTES = 16 << 20
 
@@ -35,6 +37,7 @@ def map_texts(rows: DataFrame, schema: StructType | str, make: Callable[[], Call
         schema = StructType.fromDDL(schema)
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship(rows.sparkSession)
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -170,8 +170,10 @@ def digest(found: DataFrame) -> DataFrame:
     def joined(column: str):
         return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
-    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("found").alias("spans"))
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, BASE), F.sha2(joined("base"), 256).alias("base_sha256"), joined("found").alias("spans"))
 
 
 def sha256_of(spans: list[Span]) -> str:

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
+from ..ship import ship
 from .arrow import slices, text_rows
 from .chunks import LONGEST, RunCache, blank_runs
 from .store import shared_dir
@@ -210,6 +211,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                 count += 1
 
     spark = docs.sparkSession
+    ship(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = text_rows(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange(n, "id", "tie").sortWithinPartitions("id", "tie", "text").select("id", "text")
@@ -219,6 +221,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
 def read_blocks(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """One row per document, read from the files: ``doc_id, start, n_tokens, ids_crc32`` (and ``ids``)."""
+    ship(spark)
     segments = spark.read.schema(SEGMENTS).parquet(path)
     extra = ", ids array<long>" if with_ids else ""
 
