@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from ..ship import ship
 
 #: Text bytes that one Arrow slice may hold before it is cut into smaller ones.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -50,3 +50,17 @@ def map_texts(rows: DataFrame, schema: StructType | str, make: Callable[[], Call
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True))], schema=arrow)
 
     return rows.mapInArrow(run, schema)
+
+
+def keep_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], Sequence[bool]]], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text (null: empty) ``make()(texts)`` keeps."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = None
+        for batch in batches:
+            for part in slices(batch, text_col):
+                work = work or make()
+                yield part.filter(pa.array(work([t or "" for t in part.column(text_col).to_pylist()]), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

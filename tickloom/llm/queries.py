@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from . import pii, token_blocks, token_counts, trie_bpe
+from . import decontaminate, near_dup, pii, quality, token_blocks, token_counts, trie_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,18 @@ def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
@@ -30,7 +42,7 @@ def op10_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_token_blocks, op8_pii, op9_token_counts, op10_bpe_trie)}
+    return {f.__name__: f for f in (op2_token_blocks, op3_decontamination, op5_simhash, op6_quality, op8_pii, op9_token_counts, op10_bpe_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
