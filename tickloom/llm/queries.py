@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from . import decontaminate, near_dup, pii, quality, token_blocks, token_counts, trie_bpe
+from . import decontaminate, line_templates, near_dup, pii, quality, token_blocks, token_counts, trie_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_templates.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("_lines.all").alias("n_lines"), F.col("_lines.dropped").alias("n_dropped"), "text")
+
+
 def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -42,8 +47,8 @@ def op10_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_token_blocks, op3_decontamination, op5_simhash, op6_quality, op8_pii, op9_token_counts, op10_bpe_trie)}
+    return {f.__name__: f for f in (op1_line_templates, op2_token_blocks, op3_decontamination, op5_simhash, op6_quality, op8_pii, op9_token_counts, op10_bpe_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_templates": line_templates.ORACLE}
