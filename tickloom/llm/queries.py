@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from . import decontaminate, line_templates, near_dup, pii, quality, token_blocks, token_counts, trie_bpe
+from . import decontaminate, line_templates, near_dup, pii, quality, token_blocks, token_counts, toxicity, trie_bpe, wrappers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op7_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
@@ -47,7 +56,7 @@ def op10_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_templates, op2_token_blocks, op3_decontamination, op5_simhash, op6_quality, op8_pii, op9_token_counts, op10_bpe_trie)}
+    return {f.__name__: f for f in (op1_line_templates, op2_token_blocks, op3_decontamination, op4_toxicity, op5_simhash, op6_quality, op7_wrappers, op8_pii, op9_token_counts, op10_bpe_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
