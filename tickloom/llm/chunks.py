@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 #: Distinct runs that one worker remembers; beyond it starts afresh.
-KEPT = 500_000
+KEPT = 250_000
 #: Longer runs are encoded each time and never kept.
 LONGEST = 80
 
@@ -31,6 +32,25 @@ class RunCache(dict):
             del self[r]
 
 
+#: Characters that are lower-cased one by one and composed already: up to U+024F, without U+0130.
+LATIN = re.compile("[\x00-\u012f\u0131-\u024f]*")
+#: Marks that follow words.
+MARKS = ".,!?#$%&*|:;"
+
+
+def lowered(text: str) -> str:
+    """The text in lower case where that can't change how it is split; special strings keep their case."""
+    return text.lower() if "<|" not in text and (text.isascii() or LATIN.fullmatch(text)) else text
+
+
+def word_and_marks(run: str) -> tuple[str, str] | None:
+    """A lower-case Latin word and the marks after it, if that is all of the run."""
+    word = run.rstrip(MARKS)
+    if len(run) <= LONGEST and word.isalpha() and word.islower() and (word.isascii() or LATIN.fullmatch(word)):
+        return word, run[len(word) :]
+    return None
+
+
 def blank_runs(text: str) -> list[str]:
     """Pieces between single spaces and line feeds; other white space stays inside a piece."""
     return text.replace("\n", " ").split(" ")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from .arrow import map_texts, text_rows
-from .chunks import RunCache, blank_runs
+from .chunks import LONGEST, RunCache, blank_runs, lowered, word_and_marks
 
 END = "</w>"
 #: One character in place of the end mark while suffixes are looked up.
@@ -44,6 +44,9 @@ def byte_alphabet() -> dict[int, str]:
 class WordBpe:
     """Encoder for a vocabulary of words with an end mark, read from a tokenizers JSON file."""
 
+    #: Distinct words that are remembered from batch to batch.
+    KEPT = 600_000
+
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -74,6 +77,7 @@ class WordBpe:
         self.words = regex.compile(SPLIT)
         self.stand_in = {b: c for b, c in byte_alphabet().items()}
         self.stable: dict[tuple[int, int], bool] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
     # -- the trie walk ----------------------------------------------------------------------------------------
 
@@ -177,14 +181,21 @@ class WordBpe:
 
     def split(self, run: str) -> list[str]:
         """The words of a run that holds no special string, as byte stand-ins."""
+        own = word_and_marks(run)
+        if own is not None and run.isascii():
+            return [x for x in own if x]
         if not PLAIN.fullmatch(run):  # letters and blanks as the library's version of Unicode has them
             return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(run))]
         s = self.stand_in
         return ["".join([s[b] for b in w.encode()]) for w in self.words.findall("".join([c.lower() for c in run]) if "İ" in run else run.lower())]
 
     def encode_runs(self, runs: list[str]) -> list[tuple[int, ...]]:
+        """Ids of each run between blanks. Words that aren't remembered are encoded together, in one walk."""
+        known = self.known
+        if len(known) > self.KEPT:
+            known.clear()
         parts: list[list[int | str]] = []
-        distinct: set[str] = set()
+        new: set[str] = set()
         for run in runs:
             own: list[int | str] = []
             for piece in self.special_split.split(run) if "<|" in run else (run,):
@@ -193,9 +204,13 @@ class WordBpe:
                 elif piece:
                     own += self.split(piece)
             parts.append(own)
-            distinct.update(x for x in own if isinstance(x, str))
-        ids = self.encode_words(list(distinct))
-        return [tuple(i for x in own for i in (ids[x] if isinstance(x, str) else (x,))) for own in parts]
+            new.update([x for x in own if x not in known and not isinstance(x, int)])
+        fresh = self.encode_words(list(new))
+        known.update(fresh)
+        out = [known[x[0]] if len(x) == 1 and isinstance(x[0], str) else tuple([i for w in x for i in ((w,) if isinstance(w, int) else known[w])]) for x in parts]
+        for w in [w for w in fresh if len(w) > 2 * LONGEST]:
+            del known[w]
+        return out
 
     def decode(self, ids) -> str:
         """As a tokenizer without a decoder does: the tokens' own strings with a blank between."""
@@ -220,7 +235,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         known = RunCache(fill)
 
         def work(_, texts):
-            split = [blank_runs(t) for t in texts]
+            split = [blank_runs(lowered(t)) for t in texts]
             known.ready(set().union(*split))
             n, ids_hash, text_hash, all_ids, all_text = [], [], [], [], []
             for runs in split:
