@@ -117,27 +117,26 @@ M = [f"m{i}" for i in range(P)]
 L = {(i, j): f"l{i}{j}" for i in range(P) for j in range(i + 1)}
 
 
-def distance(x: list[Column], params: DataFrame | None = None) -> Column:
-    """Squared Mahalanobis distance by forward substitution with the factor in columns L; null without an estimate."""
-    y: list[Column] = []
-    for i in range(P):
-        rest = x[i] - F.col(M[i])
-        for j in range(i):
-            rest = rest - F.col(L[i, j]) * y[j]
-        y.append(rest / F.col(L[i, i]))
-    return reduce(lambda a, b: a + b, [v * v for v in y])
+def distance(x: list[Column]) -> Column:
+    """Squared Mahalanobis distance by the inverse factor in columns L; null without an estimate. One flat expression."""
+    off = [x[i] - F.col(M[i]) for i in range(P)]
+    return reduce(lambda a, b: a + b, [F.pow(reduce(lambda a, b: a + b, [F.col(L[i, j]) * off[j] for j in range(i + 1)]), F.lit(2.0)) for i in range(P)])
 
 
 def with_factor(moments: DataFrame, scale: float) -> DataFrame:
-    """Means and cross products (columns m_i, c_ij) -> means and Cholesky factor of the floored covariance."""
+    """Means and cross products (columns m_i, c_ij) -> means and the inverse Cholesky factor of the floored covariance."""
     df = moments
     for i in range(P):
         for j in range(i + 1):
             cov = (F.col(f"c{i}{j}") - F.col(M[i]) * F.col(M[j])) * scale
             if i == j:
                 cov = F.greatest(cov, F.lit(0.0)) + FLOORS[i]
-            inner = reduce(lambda a, b: a - b, [F.col(L[i, k]) * F.col(L[j, k]) for k in range(j)], cov)
-            df = df.withColumn(L[i, j], F.sqrt(F.greatest(inner, F.lit(1e-6))) if i == j else inner / F.col(L[j, j]))
+            inner = reduce(lambda a, b: a - b, [F.col(f"f{i}{k}") * F.col(f"f{j}{k}") for k in range(j)], cov)
+            df = df.withColumn(f"f{i}{j}", F.sqrt(F.greatest(inner, F.lit(1e-6))) if i == j else inner / F.col(f"f{j}{j}"))
+    for i in range(P):
+        for j in range(i + 1):
+            known = reduce(lambda a, b: a - b, [F.col(f"f{i}{k}") * F.col(L[k, j]) for k in range(j, i)], F.lit(1.0 if i == j else 0.0))
+            df = df.withColumn(L[i, j], known / F.col(f"f{i}{i}"))
     return df.select("g_lang", "g_source", "g_rows", *M, *L.values())
 
 
@@ -163,7 +162,7 @@ def fit(stats: DataFrame) -> DataFrame:
     middle = written(middle, "quality-medians")
     off = dealt.join(middle, keys)
     spread = off.groupBy(*keys, "g_rows", *M).agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(m)), 0.5, 1000).alias(f"s{i}") for i, (x, m) in enumerate(zip(X, M, strict=True))])
-    diagonal = {L[i, j]: F.sqrt(F.pow(1.4826 * F.col(f"s{i}"), F.lit(2.0)) + FLOORS[i]) if i == j else F.lit(0.0) for i, j in L}
+    diagonal = {L[i, j]: 1 / F.sqrt(F.pow(1.4826 * F.col(f"s{i}"), F.lit(2.0)) + FLOORS[i]) if i == j else F.lit(0.0) for i, j in L}
     params = written(spread.withColumns(diagonal).select(*keys, "g_rows", *M, *L.values()), "quality-start")
     scale = consistency(SHARE, P)
     for step in range(STEPS):
@@ -208,4 +207,5 @@ def drop_poor(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     rows = counts(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), lang.alias("_l"), source.alias("_s"), F.col(text_col).alias("_t")), F.col("_t"), "_counts").drop("_t")
     judged = rows.join(params, (F.col("_l") == F.col("_lang")) & (F.col("_s") == F.col("_source")), "left")
     c = F.col("_counts")
-    return judged.where(~base_failed(c) & ~outlier(vector(c))).select("_row.*")
+    # The number keeps the filter above this projection; pushed below it would make the counts once more for each use.
+    return judged.select("_row", (~base_failed(c) & ~outlier(vector(c))).alias("_kept"), F.monotonically_increasing_id().alias("_n")).where("_kept").select("_row.*")
