@@ -1,0 +1 @@
+"""Trade-tick analytics on Spark: ingest, merge, audit and information-driven bars."""
