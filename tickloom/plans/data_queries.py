@@ -166,7 +166,7 @@ ORACLE = {
     "scalar_bool_parse": f"WITH {RAW_SQL} SELECT o_orderkey, lower(trim(f_flag)) = 'true' AS flag FROM raw",
     "filter_parseable": f"WITH {RAW_SQL} SELECT o_orderkey, f_price::DOUBLE AS price FROM raw WHERE try_cast(f_id AS BIGINT) IS NOT NULL AND try_cast(f_price AS DOUBLE) IS NOT NULL",
     "regex_filename_dates": f"WITH {NAMES_SQL} SELECT o_orderkey, try_cast(nullif(regexp_extract(name, '{scalars.MONTHLY}', 2), '') AS INT) AS year, try_cast(nullif(regexp_extract(name, '{scalars.MONTHLY}', 3), '') AS INT) AS month, try_cast(nullif(regexp_extract(name, '{scalars.DAILY}', 4), '') AS INT) AS day, try_cast(nullif(regexp_extract(name, '{scalars.COMPACTED}', 2), '') AS INT) AS number FROM names",
-    "scalar_path_template": "SELECT o_orderkey, 'data/' || CASE o_orderkey % 3 WHEN 0 THEN 'spot' WHEN 1 THEN 'futures/um' ELSE 'futures/cm' END || '/' || CASE WHEN o_orderkey % 2 = 0 THEN 'daily' ELSE 'monthly' END || '/trades/BTCUSDT/BTCUSDT-trades-' || strftime(o_orderdate, CASE WHEN o_orderkey % 2 = 0 THEN '%Y-%m-%d' ELSE '%Y-%m' END) || '.zip' AS path FROM orders",
+    "scalar_path_template": "SELECT o_orderkey, 'data/' || CASE o_orderkey % 3 WHEN 0 THEN 'spot' WHEN 1 THEN 'futures/um' ELSE 'futures/cm' END || '/' || CASE WHEN o_orderkey % 2 = 0 THEN 'daily' ELSE 'monthly' END || '/trades/BTCUSDT/BTCUSDT-trades-' || CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE strftime(o_orderdate, '%Y-%m') END || '.zip' AS path FROM orders",
     "coverage_class": "WITH s AS (SELECT o_custkey, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders GROUP BY 1), h AS (SELECT *, (epoch_us(b) - epoch_us(a)) / 3.6e9 AS h, date_diff('day', a, b) + 1 AS n FROM s) SELECT o_custkey, CASE WHEN h < 1 THEN 'minutes' WHEN h < 24 THEN 'hours' WHEN h < 168 THEN 'days' WHEN n > 25 THEN 'month' WHEN n > 15 THEN 'most of a month' ELSE 'weeks' END AS coverage FROM h",
     "dq_nonpositive": f"WITH {EV} SELECT symbol, count(*) FILTER (WHERE price <= 0) AS bad_price, count(*) FILTER (WHERE qty <= 0) AS bad_qty, bool_or(price <= 0) AS any_bad FROM ev GROUP BY symbol",
     "dq_nulls": f"WITH {EV} SELECT symbol, count(*) FILTER (WHERE ms IS NULL) AS null_time, count(*) = 0 AS empty FROM ev GROUP BY symbol",

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType, TimestampType
 
-TRADES = StructType.fromDDL("trade_id bigint, price double, qty double, quoteQty double, time timestamp, isBuyerMaker boolean, isBestMatch boolean")
+TRADES = StructType(
+    [
+        StructField("trade_id", LongType()),
+        *[StructField(c, DoubleType()) for c in ("price", "qty", "quoteQty")],
+        StructField("time", TimestampType()),
+        *[StructField(c, BooleanType()) for c in ("isBuyerMaker", "isBestMatch")],
+    ]
+)
 #: Column names of the raw files, in order: spot has all, futures lack the last.
 SPOT_FIELDS = ("trade_id", "price", "qty", "quoteQty", "time", "isBuyerMaker", "isBestMatch")
 FUTURES_FIELDS = SPOT_FIELDS[:-1]
