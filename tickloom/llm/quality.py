@@ -197,15 +197,13 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 def drop_poor(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The documents that are kept, all columns as they are.
 
-    The counts are made twice, for the estimates and again beside each text: joining verdicts to texts instead would
-    shuffle the texts and need a key that is never null or repeated.
+    The rows are written once with their counts: the estimates read the counts alone, the verdicts stand beside the
+    texts. Joining verdicts to texts instead would shuffle the texts and need a key that is never null or repeated.
     """
-    stats = counts(docs.select(*_keyed(docs, lang_col, source_col), F.col(text_col).alias("text")), F.col("text"), "counts").drop("text")
-    params = fit(written(stats, "quality-counts"))
-    params = written(params, "quality-estimates").withColumnsRenamed({"lang": "_lang", "source": "_source"})
     lang, source = _keyed(docs, lang_col, source_col)
-    rows = counts(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), lang.alias("_l"), source.alias("_s"), F.col(text_col).alias("_t")), F.col("_t"), "_counts").drop("_t")
-    judged = rows.join(params, (F.col("_l") == F.col("_lang")) & (F.col("_s") == F.col("_source")), "left")
-    c = F.col("_counts")
-    # The number keeps the filter above this projection; pushed below it would make the counts once more for each use.
-    return judged.select("_row", (~base_failed(c) & ~outlier(vector(c))).alias("_kept"), F.monotonically_increasing_id().alias("_n")).where("_kept").select("_row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), lang, source, F.col(text_col).alias("body"))
+    rows = written(counts(rows, F.col("body"), "counts").drop("body"), "quality-rows")
+    params = written(fit(rows.select("lang", "source", "counts")), "quality-estimates")
+    c = F.col("counts")
+    judged = rows.join(params, ["lang", "source"], "left")
+    return judged.where(~base_failed(c) & ~outlier(vector(c))).select("row.*")
