@@ -24,6 +24,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,9 @@ from pyspark.sql.window import Window
 
 from ..ship import ship
 from .arrow import slices, text_rows
-from .chunks import LONGEST, RunCache, blank_runs
+from .chunks import LONGEST, blank_runs, lowered, word_and_marks
 from .store import shared_dir
+from .trie_bpe import byte_alphabet
 
 BLOCK = 1024
 PERCENTILE = 95
@@ -157,34 +159,52 @@ class Segment:
         return unpack_blocks(self.starts[first : last + 1], self.blocks)[s - first * BLOCK : e - first * BLOCK]
 
 
-def run_encoder(tokenizer_path: str):
-    """runs between blanks -> their ids as little-endian bytes, by the tokenizers library."""
-    import re
+class RunIds(dict):
+    """Runs between blanks -> their ids as little-endian bytes, by the tokenizers library; what is missing is encoded.
 
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_file(tokenizer_path)
-    library.no_truncation()
-    library.no_padding()
-    # Words and marks are encoded apart, whatever stands beside them; an apostrophe or a special string may join both.
-    two = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&*.,|?:;]+)")
-    words: dict[str, bytes] = {}
-
-    def encode(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
-
-    def fill(runs: list[str]) -> list[bytes]:
-        parts = [m.groups() if (m := two.fullmatch(r)) and len(r) <= LONGEST else (r,) for r in runs]
-        if len(words) > 300_000:
-            words.clear()
-        new = list({p.lower() if len(q) == 2 else p for q in parts for p in q} - words.keys())
-        words.update(zip(new, encode(new), strict=True))
-        out = [b"".join([words[p.lower() if len(q) == 2 else p] for p in q]) for q in parts]
-        for p in [p for p in new if len(p) > LONGEST]:
-            del words[p]
-        return out
+    Plain words and the marks after them go to the library's model alone, all other runs through all of its steps.
+    """
 
-    return fill
+    #: Distinct runs and distinct words that are remembered.
+    RUNS, WORDS = 300_000, 500_000
+
+    def __init__(self, tokenizer_path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.library = Tokenizer.from_file(tokenizer_path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.model = self.library.model.tokenize
+        self.stand_in = byte_alphabet()
+        self.words: dict[str, bytes] = {"": b""}
+
+    def word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            own = word if word.isascii() else "".join([self.stand_in[b] for b in word.encode()])
+            ids = self.words[word] = array("I", [t.id for t in self.model(own)]).tobytes()
+        return ids
+
+    def __missing__(self, run: str) -> bytes:
+        own = word_and_marks(run)
+        if own is None:
+            ids = array("I", self.library.encode(run, add_special_tokens=False).ids).tobytes()
+        else:
+            ids = self.word(own[0]) + self.word(own[1])
+        if len(run) <= LONGEST:
+            self[run] = ids
+        return ids
+
+    def text(self, text: str) -> bytes:
+        """The ids of a whole text."""
+        return b"".join(map(self.__getitem__, blank_runs(lowered(text))))
+
+    def tidy(self) -> None:
+        if len(self) > self.RUNS:
+            self.clear()
+        if len(self.words) > self.WORDS:
+            self.words = {"": b""}
 
 
 def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -200,10 +220,8 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in slices(batch):
-                known = known or RunCache(run_encoder(tokenizer_path))
-                split = [blank_runs(t) for t in part.column("text").to_pylist()]
-                known.ready(set().union(*split))
-                own = [b"".join(map(known.__getitem__, runs)) + end for runs in split]
+                known = known or RunIds(tokenizer_path)
+                own = [known.text(t) + end for t in part.column("text").to_pylist()]
                 known.tidy()
                 n_tokens = np.array([len(x) // 4 for x in own])
                 payload = write_segment(part.column("id").to_pylist(), n_tokens, np.frombuffer(b"".join(own), "<u4"))
