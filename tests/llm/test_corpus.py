@@ -212,6 +212,34 @@ def test_wrappers(spark):
     assert wrappers.main_text(d.where("false")).count() == 0
 
 
+def wrapped(spark, pages):
+    d = spark.createDataFrame([(k, u, h) for k, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    got = []
+    for bound in (wrappers.WRAPPER_BYTES, -1):
+        wrappers.WRAPPER_BYTES, old = bound, wrappers.WRAPPER_BYTES
+        got.append({r.page_id: r.text for r in wrappers.main_text(d).collect()})
+        wrappers.WRAPPER_BYTES = old
+    assert got[0] == got[1]
+    return [got[0][k] for k in range(len(pages))]
+
+
+def test_wrappers_templates(spark):
+    def page(kind, k):
+        text = f"<h2>Head {k}</h2><p>{prose(k, 40)}</p><p>{prose(100 + k, 30)}</p>"
+        return "<body><div class='info'><p>" + "Same words on every page of it. " * 3 + f"</p></div><{kind}>{text}</{kind.split()[0]}></body>"
+
+    def want(k):
+        return f"Head {k}\n{' '.join(prose(k, 40).split())}\n{' '.join(prose(100 + k, 30).split())}"
+
+    kinds = ["article", "article", "div class='content'", "div class='content'", "div class='content'", "div class='post'", "div class='once'"]
+    for urls in (["http://c.example/%d"] * 7, ["http://m.c.example/%d", "http://www.c.example/%d"] * 3 + ["http://c.example/%d"], ["/odd/%d"] * 6 + [None]):
+        got = wrapped(spark, [(u and u % k if u and "%" in u else u, page(kind, k)) for k, (u, kind) in enumerate(zip(urls, kinds))])
+        assert got == [want(k) for k in range(7)]
+    # A short text beside a long one that all pages of the host have: a template of its own, with one page.
+    short = page("div class='content'", 50).replace(prose(50, 40), "Few words").replace(prose(150, 30), "and fewer")
+    assert wrapped(spark, [("http://c.example/", page("div class='content'", k)) for k in range(3)] + [("http://c.example/", short)])[3] == "Head 50\nFew words\nand fewer"
+
+
 def test_wrapper_alignment():
     one = wrappers.skeleton(wrappers.parse("<div><p>a</p><p>b</p><hr><h2>x</h2></div>"))
     two = wrappers.skeleton(wrappers.parse("<div><p>a</p><table><tr><td>1</td></tr></table><h2>x</h2></div>"))

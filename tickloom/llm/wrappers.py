@@ -1,20 +1,24 @@
 """Main text of web pages by wrappers: union-free regular expressions inferred from the pages of a host.
 
 1. Each page becomes a token stream, the stream a *skeleton*: element names with their classes, text slots, neighbours
-   of one name (or periods of up to three names) folded into a repeated group. Equal skeletons of a host are counted
-   once, so a host with most of the pages, or with thousands of copies, is a few rows.
-2. The skeletons of a host are aligned one after another into its wrapper. Where children differ, what only one side
-   has becomes an optional group, neighbours of one name a repeated group; text stays a slot. Hosts with more than
+   of one name (or periods of up to three names) folded into a repeated group. Equal skeletons of a template are counted
+   once, so a host with most of the pages, or with thousands of copies, is a few rows. Templates of a host are told by
+   the page alone: whether it has article or main elements with text, else by the element that holds most of its text.
+2. The skeletons of a template are aligned one after another into its wrapper. Where children differ, what only one side
+   has becomes an optional group, neighbours of one name a repeated group; text stays a slot. Templates with more than
    ALIGNED skeletons are aligned in parts, then the parts' wrappers, in as many rounds as it takes.
-3. For every slot of a host it is known how much text it holds, how much of that in links, and whether it is the same
-   on all pages. With these the content region of the wrapper is marked: article or main elements, else the element
-   that holds most of the changing text outside links. Menus, headers, footers, sidebars, adverts, forms and comments,
-   told by element or class, are cut out of it; so are slots that repeat one short text on three pages or more.
-4. A page is read along the wrapper of its host: blocks of the region, in order.
-
-Wrappers go to the pages as a broadcast while they are smaller than WRAPPER_BYTES in all, else by a join on the host.
-
-Defined results: null html counts as empty and gives ""; null or odd urls have host ""; broken markup is read as far as
+3. For every slot of a template it is known how much text it holds, how much of that in links, and whether it is the
+   same on all pages (on those of the host, if the template has one page). With these the content region of the wrapper
+   is marked: article or main elements, else the element that holds most of the changing text outside links. Menus,
+   headers, footers, sidebars, adverts, forms and comments, told by element or class, are cut out of it; so are slots
+   that repeat one short text on three pages or more.
+4. A page is read along the wrapper of its template: blocks of the region, in order; a page without text there is read
+   by a region marked from its own slots.
+
+Wrappers go to the pages as a broadcast while they are smaller than WRAPPER_BYTES in all, else by a join on the template.
+
+Defined results: null html counts as empty and gives ""; null or odd urls have host "", whose
+pages share templates but no other facts; broken markup is read as far as
 it goes (open elements end where their parent or the page does); repeated pages give repeated results; no page is cut.
 """
 
@@ -246,18 +250,45 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def most(worth: dict[str, int]) -> list[str]:
+    """The deepest element that holds most of the worth of its slots, but not a single kind of paragraph."""
+    mass: dict[str, int] = {}
+    for path, w in worth.items():
+        steps = path.split("/")
+        for i in range(2, len(steps) + 1):
+            p = "/".join(steps[:i])
+            mass[p] = mass.get(p, 0) + w
+    total = max(mass.values(), default=0)
+    deep = [p for p, v in mass.items() if total and v >= 0.7 * total]
+    deep = [p for p in deep if p.rsplit("/", 1)[1].split(".")[0] not in ("p", "h1", "h2", "h3", "li", "td", "pre", "blockquote")] or deep
+    return [max(deep, key=lambda p: (p.count("/"), p))] if deep else []
+
+
+def own_regions(own: dict[str, list]) -> list[str]:
+    """The region of a page by its own slots alone; all of it if they hold nothing but links."""
+    return most({path: max(0, chars - 2 * linked) for path, (_, chars, linked, _) in own.items()}) or ["/"]
+
+
+def template_of(url: str | None, own: dict[str, list]) -> str:
+    """Host and template of a page with these slots."""
+    article = any(step.split(".")[0] in ("article", "main") for path in own for step in path.split("/"))
+    return "\n".join([host_of(url), *(["article"] if article else own_regions(own))])
+
+
 def inspect(pages: DataFrame) -> DataFrame:
-    """(url, html) -> ``host, kind, value`` with sums: kind "s" for skeletons, "t" for slots; summed up within slices."""
+    """(url, html) -> ``host`` (with template)``, kind, value`` with sums: kind "s" for skeletons, "t" for slots; summed up within slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
                 rows: dict[tuple[str, str, str], list] = {}
                 for url, page in zip(part.column("url").to_pylist(), part.column("html").to_pylist(), strict=True):
-                    host, root = host_of(url), parse(page)
+                    root = parse(page)
+                    own = slots(root)
+                    host = template_of(url, own)
                     s = rows.setdefault((host, "s", json.dumps(skeleton(root), separators=(",", ":"))), [0, 0, 0, 0, 0])
                     s[0] += 1
-                    for path, (text, chars, linked, times) in slots(root).items():
+                    for path, (text, chars, linked, times) in own.items():
                         h = zlib.crc32(text.encode()) if text is not None else -1
                         s = rows.setdefault((host, "t", path), [0, h, h, 0, 0])
                         s[0] += 1
@@ -282,8 +313,11 @@ def align_all(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": [frame["host"].iloc[0]], "value": [json.dumps(out, separators=(",", ":"))], "n": [int(frame["n"].sum())]})
 
 
-def region_of(wrapper: list, seen: list[dict]) -> dict:
-    """What is read on pages of this wrapper: paths of the elements of the content region, and of slots to leave out."""
+def region_of(wrapper: list, seen: list[dict], constant: frozenset[str] = frozenset()) -> dict:
+    """What is read on pages of this wrapper: paths of the elements of the content region, and of slots to leave out.
+
+    ``constant``: slots with one text on all pages of the host, for templates of one page.
+    """
     pages = max([s["n"] for s in seen], default=0)
     found: list[str] = []
 
@@ -305,19 +339,8 @@ def region_of(wrapper: list, seen: list[dict]) -> dict:
     regions = with_text or regions
     if not with_text:
         # Text that changes from page to page and isn't a link, summed over each element's inside.
-        mass: dict[str, int] = {}
-        for s in seen:
-            changing = pages < 2 or s["low"] != s["high"]
-            worth = max(0, s["chars"] - 2 * s["linked"]) * (1 if changing else 0)
-            steps = s["path"].split("/")
-            for i in range(2, len(steps) + 1):
-                p = "/".join(steps[:i])
-                mass[p] = mass.get(p, 0) + worth
-        total = max(mass.values(), default=0)
-        deep = [p for p, v in mass.items() if total and v >= 0.7 * total]
-        # The deepest element that holds most of it, but not a single kind of paragraph.
-        deep = [p for p in deep if p.rsplit("/", 1)[1].split(".")[0] not in ("p", "h1", "h2", "h3", "li", "td", "pre", "blockquote")] or deep
-        regions = [max(deep, key=lambda p: (p.count("/"), p))] if deep else []
+        changing = [s for s in seen if (s["path"] not in constant if pages < 2 else s["low"] != s["high"])]
+        regions = most({s["path"]: max(0, s["chars"] - 2 * s["linked"]) for s in changing})
     inside = [s for s in seen if any(s["path"] == r or s["path"].startswith(r + "/") for r in regions)]
     changing = any(s["low"] != s["high"] for s in inside)
     fixed = [s["path"] for s in inside if changing and s["low"] == s["high"] and s["low"] >= 0 and s["n"] >= CONSTANT_PAGES and s["chars"] <= CONSTANT_CHARS * s["n"] and s["path"].rsplit("/", 1)[1].split(".")[0] not in ("h1", "h2")]
@@ -325,7 +348,7 @@ def region_of(wrapper: list, seen: list[dict]) -> dict:
 
 
 def infer(pages: DataFrame) -> DataFrame:
-    """``host, wrapper, region``: the wrapper and, as JSON, what of it is read."""
+    """``host`` (with template)``, wrapper, region``: the wrapper and, as JSON, what of it is read."""
     ship(pages.sparkSession)
     seen = written(inspect(pages), "page-slots")
     wrappers = seen.where("kind = 's'").select("host", "value", "n")
@@ -340,13 +363,17 @@ def infer(pages: DataFrame) -> DataFrame:
     wrappers = wrappers.groupBy("host").applyInPandas(align_all, schema)
     slot = F.struct(F.col("value").alias("path"), "n", "low", "high", "chars", "linked")
     texts = seen.where("kind = 't'").groupBy("host").agg(F.to_json(F.collect_list(slot)).alias("slots"))
+    # Slots with one text on all pages of a host, whatever the template.
+    site = F.substring_index("host", "\n", 1).alias("site")
+    same = seen.where("kind = 't'").select(site, "value", "n", "low", "high").groupBy("site", "value").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    same = same.where("site <> '' and n > 1 and low = high and low >= 0").groupBy("site").agg(F.to_json(F.collect_list("value")).alias("constant"))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            regions = [json.dumps(region_of(json.loads(w), json.loads(s or "[]"))) for w, s in zip(batch.column("value").to_pylist(), batch.column("slots").to_pylist(), strict=True)]
+            regions = [json.dumps(region_of(json.loads(w), json.loads(s or "[]"), frozenset(json.loads(c or "[]")))) for w, s, c in zip(*(batch.column(x).to_pylist() for x in ("value", "slots", "constant")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("value"), pa.array(regions, pa.string())], names=["host", "wrapper", "region"])
 
-    return wrappers.join(texts, "host", "left").select("host", "value", "slots").mapInArrow(marked, "host string, wrapper string, region string")
+    return wrappers.join(texts, "host", "left").select("host", "value", "slots", site).join(same, "site", "left").select("host", "value", "slots", "constant").mapInArrow(marked, "host string, wrapper string, region string")
 
 
 class Reader:
@@ -356,9 +383,11 @@ class Reader:
         spec = json.loads(region)
         self.regions, self.fixed = set(spec["regions"]), set(spec["fixed"])
 
-    def read(self, page: str) -> str:
+    def read(self, root: Element, own: dict[str, list]) -> str:
         blocks: list[str] = []
-        self.walk(parse(page), "", False, False, blocks)
+        self.walk(root, "", False, False, blocks)
+        if own and not blocks:  # none of the regions is on this page
+            Reader(json.dumps({"regions": own_regions(own), "fixed": []})).walk(root, "", False, False, blocks)
         return "\n".join(blocks)
 
     def walk(self, e: Element, path: str, reading: bool, inside: bool, blocks: list[str]) -> None:
@@ -402,13 +431,16 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             for batch in batches:
                 for part in slices(batch, "html"):
                     texts = []
-                    urls = part.column("url").to_pylist()
-                    regions = [known.value.get(host_of(u)) for u in urls] if known is not None else part.column("region").to_pylist()
-                    for region, page in zip(regions, part.column("html").to_pylist(), strict=True):
+                    regions = part.column("region").to_pylist() if known is None else [None] * len(part)
+                    for url, page, region in zip(part.column("url").to_pylist(), part.column("html").to_pylist(), regions, strict=True):
+                        root = parse(page)
+                        own = slots(root)
+                        if known is not None:
+                            region = known.value.get(template_of(url, own))
                         if len(readers) > 5_000:
                             readers.clear()
                         reader = readers.get(region) or readers.setdefault(region, Reader(region or '{"regions": [], "fixed": []}'))
-                        texts.append(reader.read(page))
+                        texts.append(reader.read(root, own))
                     yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
         return run
@@ -417,5 +449,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     if small:
         known = spark.sparkContext.broadcast({r.host: r.region for r in wrappers.collect()})
         return rows.mapInArrow(read(known), schema)
-    host = F.lower(F.regexp_extract("url", "(?i)" + HOST.pattern, 1))
-    return rows.withColumn("host", F.coalesce(host, F.lit(""))).join(wrappers, "host", "left").select("id", "url", "html", "region").mapInArrow(read(None), schema)
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "html"):
+                hosts = [template_of(u, slots(parse(page))) for u, page in zip(part.column("url").to_pylist(), part.column("html").to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "url", "html")), pa.array(hosts, pa.string())], names=["id", "url", "html", "host"])
+
+    return rows.mapInArrow(told, "id long, url string, html string, host string").join(wrappers, "host", "left").select("id", "url", "html", "region").mapInArrow(read(None), schema)
