@@ -240,6 +240,19 @@ def test_wrappers_templates(spark):
     assert wrapped(spark, [("http://c.example/", page("div class='content'", k)) for k in range(3)] + [("http://c.example/", short)])[3] == "Head 50\nFew words\nand fewer"
 
 
+def test_wrappers_copies(spark):
+    one = "<body><h1>Only heading</h1><p>The only words of this page.</p></body>"
+    quote = "<body><article><h1>Head {k}</h1><p>Words {k} of it.</p><h3>Summary</h3><p>More {k}.</p>{quote}</article></body>"
+    said = quote.replace("{k}", "9").replace("{quote}", "<blockquote>Said once.</blockquote>")
+    pages = [("http://d.example/", one)] * 3 + [("http://e.example/", quote.replace("{k}", str(k)).replace("{quote}", "")) for k in range(3)] + [("http://e.example/9", said)] * 3
+    # Pages that differ in nothing that is read.
+    pages += [("http://f.example/", one.replace("<body>", f"<body><nav>{k}</nav>")) for k in range(2)]
+    got = wrapped(spark, pages)
+    assert got[:3] == got[9:] + got[9:10] == ["Only heading\nThe only words of this page."] * 3
+    assert got[3:6] == [f"Head {k}\nWords {k} of it.\nSummary\nMore {k}." for k in range(3)]
+    assert got[6:9] == ["Head 9\nWords 9 of it.\nSummary\nMore 9.\nSaid once."] * 3
+
+
 def test_wrapper_alignment():
     one = wrappers.skeleton(wrappers.parse("<div><p>a</p><p>b</p><hr><h2>x</h2></div>"))
     two = wrappers.skeleton(wrappers.parse("<div><p>a</p><table><tr><td>1</td></tr></table><h2>x</h2></div>"))

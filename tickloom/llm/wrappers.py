@@ -11,7 +11,8 @@
    same on all pages (on those of the host, if the template has one page). With these the content region of the wrapper
    is marked: article or main elements, else the element that holds most of the changing text outside links. Menus,
    headers, footers, sidebars, adverts, forms and comments, told by element or class, are cut out of it; so are slots
-   that repeat one short text on three pages or more.
+   outside article and main that repeat one short text on three pages or more. Copies of a page count as one page. If
+   nothing changes, all that isn't cut is read.
 4. A page is read along the wrapper of its template: blocks of the region, in order; a page without text there is read
    by a region marked from its own slots.
 
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..ship import ship
@@ -276,7 +278,10 @@ def template_of(url: str | None, own: dict[str, list]) -> str:
 
 
 def inspect(pages: DataFrame) -> DataFrame:
-    """(url, html) -> ``host`` (with template)``, kind, value`` with sums: kind "s" for skeletons, "t" for slots; summed up within slices."""
+    """(url, html) -> ``host`` (with template)``, kind, value`` with sums: kind "s" for skeletons, "t" for slots; summed up within slices.
+
+    ``pages``: distinct pages of a slot, exact up to CONSTANT_PAGES; a slice names so many of them by hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,22 +290,25 @@ def inspect(pages: DataFrame) -> DataFrame:
                 for url, page in zip(part.column("url").to_pylist(), part.column("html").to_pylist(), strict=True):
                     root = parse(page)
                     own = slots(root)
-                    host = template_of(url, own)
-                    s = rows.setdefault((host, "s", json.dumps(skeleton(root), separators=(",", ":"))), [0, 0, 0, 0, 0])
+                    host, digest = template_of(url, own), xxhash.xxh64_intdigest(page.encode()) - (1 << 63)
+                    s = rows.setdefault((host, "s", json.dumps(skeleton(root), separators=(",", ":"))), [0, 0, 0, 0, 0, ()])
                     s[0] += 1
                     for path, (text, chars, linked, times) in own.items():
                         h = zlib.crc32(text.encode()) if text is not None else -1
-                        s = rows.setdefault((host, "t", path), [0, h, h, 0, 0])
+                        s = rows.setdefault((host, "t", path), [0, h, h, 0, 0, ()])
                         s[0] += 1
                         s[1], s[2] = (min(s[1], h), max(s[2], h)) if times == 1 else (-1, 1 << 40)
                         s[3] += chars
                         s[4] += linked
+                        if digest not in s[5]:
+                            s[5] = tuple(sorted((*s[5], digest))[:CONSTANT_PAGES])
                 host, kind, value = zip(*rows, strict=True) if rows else ((), (), ())
-                n, low, high, chars, linked = zip(*rows.values(), strict=True) if rows else ((),) * 5
-                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.string()) for x in (host, kind, value)), *(pa.array(x, pa.int64()) for x in (n, low, high, chars, linked))], names=["host", "kind", "value", "n", "low", "high", "chars", "linked"])
+                n, low, high, chars, linked, digests = zip(*rows.values(), strict=True) if rows else ((),) * 6
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.string()) for x in (host, kind, value)), *(pa.array(x, pa.int64()) for x in (n, low, high, chars, linked)), pa.array([list(x) for x in digests], pa.list_(pa.int64()))], names=["host", "kind", "value", "n", "low", "high", "chars", "linked", "pages"])
 
-    rows = pages.mapInArrow(run, "host string, kind string, value string, n long, low long, high long, chars long, linked long")
-    return rows.groupBy("host", "kind", "value").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    rows = pages.mapInArrow(run, "host string, kind string, value string, n long, low long, high long, chars long, linked long, pages array<long>")
+    distinct = F.size(F.array_distinct(F.flatten(F.collect_set("pages"))))
+    return rows.groupBy("host", "kind", "value").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), distinct.alias("pages"))
 
 
 def align_all(frame: pd.DataFrame) -> pd.DataFrame:
@@ -316,9 +324,8 @@ def align_all(frame: pd.DataFrame) -> pd.DataFrame:
 def region_of(wrapper: list, seen: list[dict], constant: frozenset[str] = frozenset()) -> dict:
     """What is read on pages of this wrapper: paths of the elements of the content region, and of slots to leave out.
 
-    ``constant``: slots with one text on all pages of the host, for templates of one page.
+    ``constant``: slots with one text on all pages of the host, for slots that one page of the template has.
     """
-    pages = max([s["n"] for s in seen], default=0)
     found: list[str] = []
 
     def search(node: list, path: str) -> None:
@@ -339,11 +346,13 @@ def region_of(wrapper: list, seen: list[dict], constant: frozenset[str] = frozen
     regions = with_text or regions
     if not with_text:
         # Text that changes from page to page and isn't a link, summed over each element's inside.
-        changing = [s for s in seen if (s["path"] not in constant if pages < 2 else s["low"] != s["high"])]
+        changing = [s for s in seen if (s["low"] != s["high"] if s["pages"] > 1 else s["path"] not in constant)]
         regions = most({s["path"]: max(0, s["chars"] - 2 * s["linked"]) for s in changing})
+    if with_text or not regions:
+        return {"regions": regions or ["/"], "fixed": []}
     inside = [s for s in seen if any(s["path"] == r or s["path"].startswith(r + "/") for r in regions)]
     changing = any(s["low"] != s["high"] for s in inside)
-    fixed = [s["path"] for s in inside if changing and s["low"] == s["high"] and s["low"] >= 0 and s["n"] >= CONSTANT_PAGES and s["chars"] <= CONSTANT_CHARS * s["n"] and s["path"].rsplit("/", 1)[1].split(".")[0] not in ("h1", "h2")]
+    fixed = [s["path"] for s in inside if changing and s["low"] == s["high"] and s["low"] >= 0 and s["pages"] >= CONSTANT_PAGES and s["chars"] <= CONSTANT_CHARS * s["n"] and s["path"].rsplit("/", 1)[1].split(".")[0] not in ("h1", "h2")]
     return {"regions": regions, "fixed": fixed}
 
 
@@ -361,12 +370,12 @@ def infer(pages: DataFrame) -> DataFrame:
         # Parts of many distinct wrappers each; every round leaves one per part.
         wrappers = written(dealt.select("host", "part", "value", "n").groupBy("host", "part").applyInPandas(align_all, schema), "wrappers")
     wrappers = wrappers.groupBy("host").applyInPandas(align_all, schema)
-    slot = F.struct(F.col("value").alias("path"), "n", "low", "high", "chars", "linked")
+    slot = F.struct(F.col("value").alias("path"), "n", "low", "high", "chars", "linked", "pages")
     texts = seen.where("kind = 't'").groupBy("host").agg(F.to_json(F.collect_list(slot)).alias("slots"))
     # Slots with one text on all pages of a host, whatever the template.
     site = F.substring_index("host", "\n", 1).alias("site")
-    same = seen.where("kind = 't'").select(site, "value", "n", "low", "high").groupBy("site", "value").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    same = same.where("site <> '' and n > 1 and low = high and low >= 0").groupBy("site").agg(F.to_json(F.collect_list("value")).alias("constant"))
+    same = seen.where("kind = 't'").select(site, "value", "pages", "low", "high").groupBy("site", "value").agg(F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high"))
+    same = same.where("site <> '' and pages > 1 and low = high and low >= 0").groupBy("site").agg(F.to_json(F.collect_list("value")).alias("constant"))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
