@@ -253,6 +253,17 @@ def test_wrappers_copies(spark):
     assert got[6:9] == ["Head 9\nWords 9 of it.\nSummary\nMore 9.\nSaid once."] * 3
 
 
+def test_wrappers_depth():
+    for deep in ("<div>" * 70 + "<p>deep</p>" + "</div>" * 70, "<font>" * 70 + "<div><p>deep</p></div>" + "</font>" * 70, "<div>" * 54 + "<ul><li>" * 5 + "deep" + "</li></ul>" * 5 + "</div>" * 54, "<div>" * 56 + "<table><tr><td>x</p></b>deep</td></tr></table>" * 2 + "</div>" * 56, "<div>" * 54 + "<b>" * 9 + "<div>deep</div>" + "</div>" * 54):
+        root = wrappers.parse(f"<html><body><div><article><p>before</p>{deep}<p>after</p><p>last</p></article><p>outside</p></div></body></html>")
+        body = root.kids[0].kids[0]
+        assert [k.tag for k in body.kids] == ["div"] and [k.tag for k in body.kids[0].kids] == ["article", "p"]
+        article = body.kids[0].kids[0]
+        spec = '{"regions": ["//html/body/div/article"], "fixed": []}'
+        text = wrappers.Reader(spec).read(root, wrappers.slots(root)).split("\n")
+        assert text[0] == "before" and text[-2:] == ["after", "last"] and "deep" in "".join(text) and article.tag == "article"
+
+
 def test_wrapper_alignment():
     one = wrappers.skeleton(wrappers.parse("<div><p>a</p><p>b</p><hr><h2>x</h2></div>"))
     two = wrappers.skeleton(wrappers.parse("<div><p>a</p><table><tr><td>1</td></tr></table><h2>x</h2></div>"))

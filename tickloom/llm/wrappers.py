@@ -52,6 +52,9 @@ DEEPEST = 60
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 RAW = set("script style noscript template textarea iframe svg math title select".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+#: End tags of BOUND don't close anything outside the innermost of BOUNDS.
+BOUND = INLINE | {"p", "li"}
+BOUNDS = {"article", "main", "body", "table"}
 CUT = set("nav footer aside form button head dialog menu".split())
 CUT_OUTSIDE_ARTICLE = {"header"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -105,6 +108,7 @@ def parse(page: str) -> Element:
     """The elements of a page; raw elements (scripts, styles and the like) are left out with all they hold."""
     root = Element("", "", frozenset())
     stack = [root]
+    deep: dict[str, int] = {}  # open elements below DEEPEST by name; all of them are inside the top of the stack
     at, n = 0, len(page)
     while at < n:
         m = TOKEN.match(page, at)
@@ -117,11 +121,20 @@ def parse(page: str) -> Element:
             continue
         name = NAME.match(token)[1].lower()
         if token[1] == "/":
+            if name in deep:
+                if deep[name] > 1:
+                    deep[name] -= 1
+                else:
+                    del deep[name]
+                continue
+            if deep and name in BOUND and not deep.keys().isdisjoint(BOUNDS):
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == name:
                     del stack[i:]
+                    deep.clear()
                     break
-                if stack[i].tag in ("article", "main", "body", "table") and name in INLINE | {"p", "li"}:
+                if stack[i].tag in BOUNDS and name in BOUND:
                     break
             continue
         if name in RAW:
@@ -130,7 +143,7 @@ def parse(page: str) -> Element:
                 at = end.end() if end else n
             continue
         tag, key, words = opened(token)
-        if tag not in INLINE:
+        if tag not in INLINE and not deep:
             for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph, an item its sibling
                 if stack[i].tag == "p" or stack[i].tag in SIBLINGS.get(tag, ()):
                     del stack[i:]
@@ -139,8 +152,11 @@ def parse(page: str) -> Element:
                     break
         e = Element(tag, key, words)
         stack[-1].kids.append(e)
-        if tag not in VOID and token[-2] != "/" and len(stack) < DEEPEST:
-            stack.append(e)
+        if tag not in VOID and token[-2] != "/":
+            if len(stack) < DEEPEST:
+                stack.append(e)
+            else:
+                deep[tag] = deep.get(tag, 0) + 1
     return root
 
 
