@@ -172,6 +172,19 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.decontaminate(empty, bench).count() == 0 and not decontaminate.decontaminate(d, bench.where("false")).where("contaminated").count()
 
 
+def leaked(item, text):
+    return decontaminate.Matcher(decontaminate.Index([(1, item)])).match([text])[0]
+
+
+def test_decontamination_slots_at_the_end():
+    item = "What is 45 + 67 + 89 + 12 + 33?"
+    assert leaked(item, f"Now then. {item} End") == {0: (1.0, 0)}
+    assert leaked(item, "What is 5 + 6 + 7 + 8 + 9?") == {0: (1.0, 5)}
+    assert leaked(item, "What is 5 + 6 + 7 and more") == {} and leaked(item, "it is 5 + 5 + 7 + 8 + 9") == {}
+    tail = "Sort these numbers from least to greatest 9 4 7 1 3 8"
+    assert leaked(tail, "x. " * 50 + tail) == {0: (1.0, 0)} and leaked(tail, tail[:-8]) == {}
+
+
 def test_toxicity(spark, docs, empty):
     import zlib
 

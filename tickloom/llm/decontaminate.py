@@ -3,8 +3,10 @@
 Texts become sequences of canonical tokens: numbers (digits or number words), units and names (capitalised inside a
 sentence) turn into typed placeholders, all other words into lower case without marks. Windows of WINDOW tokens of the
 benchmark items are hashed; windows of the documents look them up (a hash join whose build side is in memory, see
-below). A hit covers its tokens of the item. Then the slots are checked: a placeholder of the item must stand for the
-same value of the document each time, and different values for different ones; slots that don't agree aren't covered.
+below). Where a window hits, the whole item is laid beside the document, and its tokens that agree are covered; the hits
+themselves, wherever they are, are one more candidate. Then the slots of each candidate are checked: a placeholder of
+the item must stand for the same value of the document each time, and different values for different ones; slots that
+don't agree aren't covered. The best candidate counts.
 So a question with other numbers or names is found, while texts that merely have the same form are not.
 
 An item is leaked into a document if CONTAINMENT of its tokens are covered, or RUN tokens in a row.
@@ -22,6 +24,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -137,38 +140,62 @@ class Index:
                 out += [(i, q, p, n) for i, q in self.places[n][int(w[p])]]
         return out
 
-    def judge(self, hits: list[tuple[int, int, int, int]], tokens: list[tuple[str, str]]) -> dict[int, tuple[float, int]]:
-        """item -> (share of its tokens that are covered, slots with another value) of one document's hits, if leaked."""
-        by_item = defaultdict(dict)
-        for i, q, p, n in hits:
+    def alignments(self, i: int, places: list[tuple[int, int, int]], h: np.ndarray) -> Iterator[dict[int, int]]:
+        """Tokens of an item -> tokens of h, for hits (token of the item, token of h, length): whole items side by side with h where a hit is."""
+        own = self.hashes[i]
+        for s in sorted({p - q for q, p, _ in places}):
+            low, high = max(0, -s), min(len(own), len(h) - s)
+            yield {q: q + s for q in (np.flatnonzero(own[low:high] == h[low + s : high + s]) + low).tolist()}
+        first: dict[int, int] = {}
+        for q, p, n in places:
             for k in range(n):
-                by_item[i].setdefault(q + k, p + k)
+                first.setdefault(q + k, p + k)
+        yield first
+
+    @staticmethod
+    def verdict(item: list[tuple[str, str]], found: dict[int, int], tokens: list[tuple[str, str]]) -> tuple[float, int] | None:
+        """(share of the item's tokens that are covered, slots with another value), if leaked."""
+        if len(found) < min(CONTAINMENT * len(item), RUN):
+            return None
+        there: dict[str, str] = {}
+        back: dict[str, str] = {}
+        wrong, changed = set(), 0
+        for q in sorted(found):
+            c, lit = item[q]
+            if c[0] != "<":
+                continue
+            other = tokens[found[q]][1]
+            if there.setdefault(c + lit, other) != other or back.setdefault(c + other, lit) != lit:
+                wrong.add(q)
+            elif other != lit:
+                changed += 1
+        if wrong:  # not the same question with other values: values that differ count against it
+            wrong |= {q for q in found if item[q][0][0] == "<" and tokens[found[q]][1] != item[q][1]}
+        covered = sorted(set(found) - wrong)
+        run = best = 0
+        last = None
+        for q in covered:
+            run = run + 1 if last is not None and q == last + 1 else 1
+            best, last = max(best, run), q
+        share = len(covered) / len(item)
+        return (share, changed) if share >= CONTAINMENT or best >= RUN else None
+
+    def judge(self, hits: list[tuple[int, int, int, int]], tokens: list[tuple[str, str]], h: np.ndarray) -> dict[int, tuple[float, int]]:
+        """item -> its verdict of one document's hits, tokens and their hashes, if leaked; of several places the best."""
+        by_item = defaultdict(list)
+        for i, q, p, n in hits:
+            by_item[i].append((q, p, n))
         out = {}
-        for i, found in by_item.items():
-            item = self.items[i]
-            there: dict[str, str] = {}
-            back: dict[str, str] = {}
-            wrong, changed = set(), 0
-            for q in sorted(found):
-                c, lit = item[q]
-                if c[0] != "<":
-                    continue
-                other = tokens[found[q]][1]
-                if there.setdefault(c + lit, other) != other or back.setdefault(c + other, lit) != lit:
-                    wrong.add(q)
-                elif other != lit:
-                    changed += 1
-            if wrong:  # not the same question with other values: values that differ count against it
-                wrong |= {q for q in found if item[q][0][0] == "<" and tokens[found[q]][1] != item[q][1]}
-            covered = sorted(set(found) - wrong)
-            run = best = 0
-            last = None
-            for q in covered:
-                run = run + 1 if last is not None and q == last + 1 else 1
-                best, last = max(best, run), q
-            share = len(covered) / len(item)
-            if share >= CONTAINMENT or best >= RUN:
-                out[i] = (share, changed)
+        for i, places in by_item.items():
+            best = None
+            for found in self.alignments(i, places, h):
+                v = self.verdict(self.items[i], found, tokens)
+                if v and (best is None or (v[0], -v[1]) > (best[0], -best[1])):
+                    best = v
+                if best == (1.0, 0):
+                    break
+            if best:
+                out[i] = best
         return out
 
 
@@ -227,7 +254,7 @@ class Matcher(dict):
             if p + n <= edges[d + 1]:
                 found[d].append((i, q, p - int(edges[d]), n))
         for d, hits in found.items():
-            out[d] = self.index.judge(hits, canonical(texts[d]))
+            out[d] = self.index.judge(hits, canonical(texts[d]), tokens[edges[d] : edges[d + 1]])
         return out
 
 
