@@ -185,6 +185,19 @@ def test_decontamination_slots_at_the_end():
     assert leaked(tail, "x. " * 50 + tail) == {0: (1.0, 0)} and leaked(tail, tail[:-8]) == {}
 
 
+def test_decontamination_places():
+    item = "If Alice has 12 apples and gives 5 apples to Bob then how many does she keep"
+    variant = "If Carol has 40 apples and gives 40 apples to Carol then how many does she keep."
+    copy = "If Carol has 40 apples and gives 9 apples to Dave then how many does she keep."
+    short = "If Alice has 12 apples and gives 5 pears to Bob"
+    assert leaked(short, "If Carol has 40 apples and gives 40 pears to Carol. " * 3) == {}
+    for text in (short, "If Dave has 30 apples and gives 7 pears to Carol"):
+        assert 0 in leaked(short, "If Carol has 40 apples and gives 40 pears to Carol. " * 3 + text)
+    assert leaked(item, f"{variant} {item}") == {0: (1.0, 0)} and leaked(item, f"{variant} {copy}")[0][0] == 1.0
+    # One word put in, after a variant.
+    assert leaked(item, f"{variant} {item.replace('gives', 'gives just')}") == {0: (1.0, 0)}
+
+
 def test_toxicity(spark, docs, empty):
     import zlib
 

@@ -3,8 +3,8 @@
 Texts become sequences of canonical tokens: numbers (digits or number words), units and names (capitalised inside a
 sentence) turn into typed placeholders, all other words into lower case without marks. Windows of WINDOW tokens of the
 benchmark items are hashed; windows of the documents look them up (a hash join whose build side is in memory, see
-below). Where a window hits, the whole item is laid beside the document, and its tokens that agree are covered; the hits
-themselves, wherever they are, are one more candidate. Then the slots of each candidate are checked: a placeholder of
+below). Where a window hits, the whole item is laid beside the document, and its tokens that agree are covered; what
+it lacks may come from hits up to SHIFT tokens away. The hits, wherever they are, are one more candidate. Then the slots of each candidate are checked: a placeholder of
 the item must stand for the same value of the document each time, and different values for different ones; slots that
 don't agree aren't covered. The best candidate counts.
 So a question with other numbers or names is found, while texts that merely have the same form are not.
@@ -35,6 +35,8 @@ from .arrow import keep_texts, map_texts, text_rows
 WINDOW = 5
 CONTAINMENT = 0.8
 RUN = 13
+#: Words put in or left out between hits of one copy, at most half of the item.
+SHIFT = 16
 BUILD_CHARS = 32 << 20
 #: Windows with fewer literal words aren't looked up, unless an item has no others.
 LITERALS = 2
@@ -141,11 +143,28 @@ class Index:
         return out
 
     def alignments(self, i: int, places: list[tuple[int, int, int]], h: np.ndarray) -> Iterator[dict[int, int]]:
-        """Tokens of an item -> tokens of h, for hits (token of the item, token of h, length): whole items side by side with h where a hit is."""
+        """Tokens of an item -> tokens of h, for hits (token of the item, token of h, length): whole items side by side with h where a hit is, then with hits of small shifts."""
         own = self.hashes[i]
-        for s in sorted({p - q for q, p, _ in places}):
+        shifts = defaultdict(list)
+        for q, p, n in places:
+            shifts[p - q].append((q, n))
+        for s in sorted(shifts):
             low, high = max(0, -s), min(len(own), len(h) - s)
-            yield {q: q + s for q in (np.flatnonzero(own[low:high] == h[low + s : high + s]) + low).tolist()}
+            found = {q: q + s for q in (np.flatnonzero(own[low:high] == h[low + s : high + s]) + low).tolist()}
+            yield found
+            near = [t for k in range(1, min(SHIFT, len(own) // 2) + 1) for t in (s - k, s + k) if t in shifts]
+            if near and len(found) < len(own):  # words put in or left out
+                found = dict(found)
+                for t in near:
+                    for q, n in shifts[t]:
+                        stop = q + n
+                        while q > 0 and q + t > 0 and own[q - 1] == h[q + t - 1]:
+                            q -= 1
+                        while stop < len(own) and stop + t < len(h) and own[stop] == h[stop + t]:
+                            stop += 1
+                        for k in range(q, stop):
+                            found.setdefault(k, k + t)
+                yield found
         first: dict[int, int] = {}
         for q, p, n in places:
             for k in range(n):
