@@ -198,6 +198,17 @@ def test_decontamination_places():
     assert leaked(item, f"{variant} {item.replace('gives', 'gives just')}") == {0: (1.0, 0)}
 
 
+def test_decontamination_parts(spark):
+    items = [prose(i, 30) for i in range(6)]
+    bench = spark.createDataFrame([*enumerate(items), (None, items[0])], "item_id long, text string")
+    texts = [(7, items[0]), (7, f"{items[1]}. {items[2]}"), (7, "nothing of it"), (None, items[3]), (None, ""), (None, items[3]), (8, " and ".join(items))]
+    d = spark.createDataFrame(texts, "doc_id long, text string")
+    want = [(7, True, [0, None]), (7, True, [1, 2]), (7, False, []), (None, True, [3]), (None, False, []), (None, True, [3]), (8, True, [0, 1, 2, 3, 4, 5, None])]
+    one, many = ([tuple(r) for r in decontaminate.decontaminate(d, bench, build_chars=c).collect()] for c in (decontaminate.BUILD_CHARS, 300))
+    assert sorted(map(str, one)) == sorted(map(str, many))
+    assert sorted(str(r[:3]) for r in many) == sorted(map(str, want))
+
+
 def test_toxicity(spark, docs, empty):
     import zlib
 

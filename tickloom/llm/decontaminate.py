@@ -27,10 +27,12 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .arrow import keep_texts, map_texts, text_rows
+from ..ship import ship
+from .arrow import keep_texts, map_texts, slices, text_rows
 
 WINDOW = 5
 CONTAINMENT = 0.8
@@ -277,21 +279,22 @@ class Matcher(dict):
         return out
 
 
-def parts_of(bench: DataFrame, item_col: str, text_col: str, build_chars: int) -> list[list[tuple[int | None, str]]]:
-    """The items, in parts of about ``build_chars`` characters at most (a part is what one pass holds in memory)."""
+def parts_of(bench: DataFrame, item_col: str, text_col: str, build_chars: int) -> tuple[int, Iterator[list[tuple[int | None, str]]]]:
+    """Number of parts, and the items in parts of about ``build_chars`` characters at most (a part is what one pass holds in memory)."""
     items = bench.select(F.col(item_col).cast("long").alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = -(-chars // build_chars) or 1
     dealt = items.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(n)))
-    for k in range(n):
-        yield [(r.i, r.t) for r in dealt.where(F.col("part") == k).collect()]
+    return n, ([(r.i, r.t) for r in dealt.where(F.col("part") == k).collect()] for k in range(n))
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", build_chars: int = BUILD_CHARS) -> DataFrame:
     """``doc_id, contaminated, item_ids`` (ascending)``, containment`` (the largest)``, slots_changed`` of every row."""
     spark = docs.sparkSession
-    out = None
-    for items in parts_of(bench, item_col, item_text_col, build_chars):
+    rows = text_rows(docs, id_col, text_col)
+    n, parts = parts_of(bench, item_col, item_text_col, build_chars)
+    verdict = "contaminated boolean, item_ids array<long>, containment double, slots_changed long"
+    for k, items in enumerate(parts):
         shared = spark.sparkContext.broadcast(items)
 
         def make(shared=shared):
@@ -300,23 +303,45 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
 
             def work(_, texts):
                 found = matcher.match(texts)
-                order = [sorted(f, key=lambda i: (ids[i] is None, ids[i])) for f in found]
-                return [[bool(f) for f in found], [[ids[i] for i in o] for o in order], [max((x[0] for x in f.values()), default=0.0) for f in found], [sum(x[1] for x in f.values()) for f in found]]
+                return [[bool(f) for f in found], [sorted([ids[i] for i in f], key=by_id) for f in found], [max((x[0] for x in f.values()), default=0.0) for f in found], [sum(x[1] for x in f.values()) for f in found]]
 
             return work
 
-        own = map_texts(text_rows(docs, id_col, text_col), "doc_id long, contaminated boolean, item_ids array<long>, containment double, slots_changed long", make)
-        out = own if out is None else out.unionByName(own)
-        many = out is not own
-    if not many:
-        return out
-    return out.groupBy("doc_id").agg(F.max("contaminated").alias("contaminated"), F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("item_ids"), F.max("containment").alias("containment"), F.sum("slots_changed").alias("slots_changed"))
+        if n == 1:
+            return map_texts(rows, f"doc_id long, {verdict}", make)
+        # Rows pass through the parts with the verdict so far: they need no id to come together again.
+        rows = carry(rows, verdict, make, first=k == 0)
+    return rows.select(F.col("id").alias("doc_id"), "contaminated", "item_ids", "containment", "slots_changed")
+
+
+def by_id(i: int | None) -> tuple[bool, int | None]:
+    return i is None, i
+
+
+def carry(rows: DataFrame, verdict: str, make, first: bool) -> DataFrame:
+    """``id, text`` and the verdict, to which ``make()(ids, texts)`` of one part is added."""
+    ship(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = None
+        for batch in batches:
+            for part in slices(batch):
+                work = work or make()
+                columns = work(None, part.column("text").to_pylist())
+                if not first:
+                    leaked, ids, share, changed = columns
+                    was = [part.column(c).to_pylist() for c in ("contaminated", "item_ids", "containment", "slots_changed")]
+                    columns = [[a or b for a, b in zip(was[0], leaked, strict=True)], [sorted(a + b, key=by_id) for a, b in zip(was[1], ids, strict=True)], list(map(max, was[2], share)), [a + b for a, b in zip(was[3], changed, strict=True)]]
+                types = (pa.bool_(), pa.list_(pa.int64()), pa.float64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text"), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=["id", "text", "contaminated", "item_ids", "containment", "slots_changed"])
+
+    return rows.mapInArrow(run, f"id long, text string, {verdict}")
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", build_chars: int = BUILD_CHARS) -> DataFrame:
     """The documents into which no item has leaked."""
     spark = docs.sparkSession
-    for items in parts_of(bench, item_col, item_text_col, build_chars):
+    for items in parts_of(bench, item_col, item_text_col, build_chars)[1]:
         shared = spark.sparkContext.broadcast(items)
 
         def make(shared=shared):
