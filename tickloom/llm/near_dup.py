@@ -14,7 +14,8 @@ alternating large-star and small-star steps on tables in the shared folder.
 
 Defined results: a null text counts as empty, texts without words have fingerprint 0 and form a group with whatever
 lies within 4 bits of it. Null doc_ids are kept in the result; component_id is the smallest doc_id that is there, null
-if a component has none. Repeated rows are separate rows of one group. An empty table gives no rows.
+if a component has none. Repeated rows are separate rows of one group. An empty table gives no rows. Ids are integers;
+other types are cast, and text that is no number is an error.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..ship import ship
 from . import golay
 from .arrow import map_texts, text_rows
-from .store import written
+from .store import without, written
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -52,7 +53,7 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
         return xxhash.xxh64_intdigest(line, SEED)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
-    starts = (ends - lengths)[: 1 - shingle].tolist()
+    starts = (ends - lengths)[: len(words) - shingle + 1].tolist()
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(line[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)], "<u8")
     ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -60,12 +61,15 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``id, fp`` (64 bits as a signed long) of every whole text."""
+    """``id, fp, text_hash`` of every whole text: its fingerprint and the XXH64 of all of it, as signed longs."""
 
     def make():
-        return lambda _, texts: [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)]
+        def longs(numbers: list[int]) -> np.ndarray:
+            return np.array(numbers, np.uint64).view(np.int64)
 
-    return map_texts(text_rows(docs, id_col, text_col), "id long, fp long", make)
+        return lambda _, texts: [longs([fingerprint(t, shingle) for t in texts]), longs([xxhash.xxh64_intdigest(t.encode(), SEED) for t in texts])]
+
+    return map_texts(text_rows(docs, id_col, text_col), "id long, fp long, text_hash long", make)
 
 
 def golay_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,14 +215,14 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row."""
+    """``doc_id, fp, text_hash, component_id`` of every row; ``text_hash`` is Spark's ``xxhash64`` of the text."""
     prints = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("id").alias("least_id"))
     roots = components(candidate_links(nodes)).select(F.col("node").alias("fp"), "root")
     nodes = nodes.join(roots, "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     least = nodes.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_print = nodes.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
+    return prints.join(by_print, "fp").select(F.col("id").alias("doc_id"), "fp", "text_hash", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -227,11 +231,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, one of each group: the one of the smallest doc_id. Rows without doc_id stay."""
-    ids = written(groups(docs, id_col, text_col).select(F.col("doc_id").alias(id_col), "component_id"), "groups")
-    others = ids.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(others, id_col, "left_anti").select(*docs.columns)
-    if ids.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+    """The documents, one of each group: of its smallest doc_id the text with the smallest hash. Rows without doc_id stay.
+
+    A document is its doc_id and its text: of different texts under one doc_id each is judged by its own group, and of
+    rows that repeat both one stays, that of the smallest hash over all its columns.
+    """
+    known = groups(docs, id_col, text_col).where("doc_id is not null")
+    known = written(known.groupBy("doc_id", "text_hash", "component_id").agg(F.count("*").alias("n")), "groups")
+    # The first text of a component is found among the rows of its smallest id alone.
+    first = known.where("doc_id = component_id").groupBy("component_id").agg(F.min("text_hash").alias("first_hash"))
+    verdicts = known.join(first, "component_id").select("doc_id", "text_hash", "n", ((F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))).alias("stays"))
+    verdicts = written(verdicts.where("not stays or n > 1"), "verdicts")
+    keys = {"doc_id": F.col(f"`{id_col}`").cast("long"), "text_hash": F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))}
+    kept = without(docs, verdicts, keys)
+    twice = verdicts.where("stays")
+    if twice.isEmpty():
         return kept
-    # Rows with an id that another row has too are copies as well.
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
+    # Rows that stay but are there more than once.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    again = docs.select(row.alias("row"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("order"), *[e.alias(k) for k, e in keys.items()])
+    again = again.join(twice.select(*keys), list(keys), "left_semi").groupBy(*keys).agg(F.min_by("row", "order").alias("row"))
+    return kept.unionByName(again.select("row.*"))
