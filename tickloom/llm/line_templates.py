@@ -76,8 +76,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return plain.unionByName(general)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the text less its dropped lines, and a struct ``_lines`` (all, dropped) as the last column."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str = "_lines") -> DataFrame:
+    """``docs`` with the text less its dropped lines, and a struct ``count_col`` (all, dropped) as the last column, in place of one of that name."""
     gone = dropped_lines(docs, id_col, text_col).select("doc", F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"), F.shiftright("place", 32).cast("int").alias("pos"))
     gone = gone.groupBy("doc", "h").agg(F.collect_set("pos").alias("_gone")).withColumnsRenamed({"doc": "_gone_doc", "h": "_gone_h"})
     text = F.coalesce(F.col("_text"), F.lit(""))
@@ -87,13 +87,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), "_gone")
     left = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_all", i)), "\n"))
     done = lines.select("_row", left.alias("_left"), F.struct(F.size("_all").alias("all"), F.coalesce(F.size("_gone"), F.lit(0)).alias("dropped")).alias("_lines"))
-    return done.select(*[F.col("_left").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns], "_lines")
+    return done.select(*[F.col("_left").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != count_col], F.col("_lines").alias(count_col))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """The documents with what is left of their texts; those that lost all their words go. ``chars_col`` follows the text."""
-    out = dedup_lines(docs, id_col, text_col)
-    out = out.where((F.col("_lines.dropped") == 0) | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).drop("_lines")
+    counts = "_lines"
+    while counts in docs.columns:
+        counts += "_"
+    out = dedup_lines(docs, id_col, text_col, counts)
+    out = out.where((F.col(f"{counts}.dropped") == 0) | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).drop(counts)
     if chars_col in docs.columns:
         out = out.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
     return out
