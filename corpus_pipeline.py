@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm import decontaminate, line_templates, near_dup, quality, trie_bpe
-from tickloom.llm.store import written
+from tickloom.llm.store import scratch, written
 from tickloom.ship import ship
 
 
@@ -38,13 +38,20 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality_rules), ("lines", line_dedup), ("near_dup", near_dedup), ("decontamination", decontamination), ("bpe", bpe)]
 
-#: Fingerprints, robust estimates and merges can't be said in SQL; the tests hold run() against plain versions.
+#: Fingerprints, robust estimates and merges can't be said in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    with scratch(spark) as keep:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for name, stage in STAGES:
+            docs = stored(spark, name, stage, docs, sf_dir)
+        return keep(docs)
+
+
+def stored(spark: SparkSession, name: str, stage, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What a stage returns, stored; the tables that it made on the way are deleted then."""
+    with scratch(spark) as keep:
+        return keep(written(stage(spark, docs, sf_dir), f"pipeline-{name}"))
