@@ -1,14 +1,18 @@
 """Operators that look at the whole corpus, against plain versions."""
 
+import os
 import re
 from collections import Counter
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
 import xxhash
 from conftest import prose
 from pyspark.sql import functions as F
-from tickloom.llm import decontaminate, golay, line_templates, near_dup, quality, toxicity, wrappers
+from tickloom.llm import decontaminate, golay, line_templates, near_dup, quality, store, toxicity, wrappers
+
+SF = "/root/testdata/sf0.001"
 
 
 def plain_print(t):
@@ -75,6 +79,33 @@ def test_near_duplicates(docs, empty):
     assert sorted(x for x in ids if x is not None) == sorted(set(least.values())) and ids.count(None) == 2
 
 
+def test_near_duplicates_one_id(spark):
+    a, b = "a b c d e f", "x y z u v w q r"
+    rows = [(1, a), (1, b), (0, a), (1, b), (None, a), (2, b), (3, None), (4, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", F.lit("clash"))
+    for limit in (store.BROADCAST_ROWS, 0):
+        with small_broadcasts(limit):
+            got = near_dup.drop_near_duplicates(d)
+            assert got.columns == d.columns
+            # The second text of document 1 is no copy of document 0's; of null and empty texts the first stays.
+            assert sorted(map(str, [(r.doc_id, r.text) for r in got.collect()])) == sorted(map(str, [(0, a), (1, b), (None, a), (3, None)]))
+
+
+def test_line_templates_clash(spark):
+    d = spark.createDataFrame([(1, "one two three"), (2, "one two three\nfour five six")], "doc_id long, text string").withColumn("_lines", F.lit(5)).withColumn("_row", F.lit(6))
+    got = line_templates.drop_lines(d)
+    assert got.columns == d.columns and sorted(map(tuple, got.collect())) == [(1, "one two three", 5, 6), (2, "four five six", 5, 6)]
+
+
+def test_scratch(spark):
+    with store.scratch(spark) as keep:
+        gone = store.written(spark.range(3).toDF("i"), "gone")
+        kept = keep(store.written(gone, "kept"))
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|PATH_NOT_FOUND|FAILED_READ_FILE"):
+        spark.read.parquet(gone.inputFiles()[0]).count()
+
+
 def test_large_bucket():
     r = np.random.default_rng(3)
     base = np.uint64(r.integers(0, 2**63))
@@ -164,16 +195,29 @@ def test_decontamination(spark, docs, empty):
         prose(99, 200),
     ]
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for chars in (decontaminate.BUILD_CHARS, 60):
-        got = {r.doc_id: (r.contaminated, r.item_ids) for r in decontaminate.decontaminate(d, bench, build_chars=chars).collect()}
-        assert got == {0: (True, [1]), 1: (False, []), 2: (True, [4]), 3: (False, []), 4: (False, [])}
-        assert sorted(r.doc_id for r in decontaminate.drop_contaminated(d, bench, build_chars=chars).collect()) == [1, 3, 4]
+    for limit in (store.BROADCAST_ROWS, 0):
+        with small_broadcasts(limit):
+            got = {r.doc_id: (r.contaminated, r.item_ids) for r in decontaminate.decontaminate(d, bench).collect()}
+            assert got == {0: (True, [1]), 1: (False, []), 2: (True, [4]), 3: (False, []), 4: (False, [])}
+            assert sorted(r.doc_id for r in decontaminate.drop_contaminated(d, bench).collect()) == [1, 3, 4]
     assert decontaminate.drop_contaminated(docs, bench).columns == docs.columns
     assert decontaminate.decontaminate(empty, bench).count() == 0 and not decontaminate.decontaminate(d, bench.where("false")).where("contaminated").count()
 
 
+@contextmanager
+def small_broadcasts(limit):
+    """Beyond ``limit`` rows, the way without a broadcast; a filter small enough to err."""
+    old = store.BROADCAST_ROWS, store.FILTER_WORDS
+    store.BROADCAST_ROWS = decontaminate.BROADCAST_ROWS = limit
+    store.FILTER_WORDS = 4
+    yield
+    store.BROADCAST_ROWS, store.FILTER_WORDS = old
+    decontaminate.BROADCAST_ROWS = old[0]
+
+
 def leaked(item, text):
-    return decontaminate.Matcher(decontaminate.Index([(1, item)])).match([text])[0]
+    found = decontaminate.compare(item, text)
+    return {0: found} if found else {}
 
 
 def test_decontamination_slots_at_the_end():
@@ -198,15 +242,37 @@ def test_decontamination_places():
     assert leaked(item, f"{variant} {item.replace('gives', 'gives just')}") == {0: (1.0, 0)}
 
 
-def test_decontamination_parts(spark):
+def test_decontamination_far_apart():
+    item = "one old keeper of the northern light walked down to see whether any boats had come back before the storm"
+    words = item.split()
+    pieces = [" ".join(words[i : i + 5]) for i in range(0, len(words), 5)]
+    assert leaked(item, f" {prose(5, 30)} ".join(pieces)) == {} and leaked(item, " and then ".join(reversed(pieces))) == {}
+    assert 0 in leaked(item, " truly ".join(pieces))
+
+
+def test_decontamination_rows(spark):
     items = [prose(i, 30) for i in range(6)]
     bench = spark.createDataFrame([*enumerate(items), (None, items[0])], "item_id long, text string")
     texts = [(7, items[0]), (7, f"{items[1]}. {items[2]}"), (7, "nothing of it"), (None, items[3]), (None, ""), (None, items[3]), (8, " and ".join(items))]
     d = spark.createDataFrame(texts, "doc_id long, text string")
     want = [(7, True, [0, None]), (7, True, [1, 2]), (7, False, []), (None, True, [3]), (None, False, []), (None, True, [3]), (8, True, [0, 1, 2, 3, 4, 5, None])]
-    one, many = ([tuple(r) for r in decontaminate.decontaminate(d, bench, build_chars=c).collect()] for c in (decontaminate.BUILD_CHARS, 300))
-    assert sorted(map(str, one)) == sorted(map(str, many))
-    assert sorted(str(r[:3]) for r in many) == sorted(map(str, want))
+    for limit in (store.BROADCAST_ROWS, 0):
+        with small_broadcasts(limit):
+            got = [tuple(r)[:3] for r in decontaminate.decontaminate(d, bench).collect()]
+            assert sorted(map(str, got)) == sorted(map(str, want))
+            assert decontaminate.drop_contaminated(d.withColumn("_filter", F.lit(1)).withColumn("key", F.lit(2)), bench).count() == 2
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_decontamination_plain(spark):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    want = set()
+    for d in docs.collect():
+        found = [(i, v) for i, t in items if (v := decontaminate.compare(t, d.text or ""))]
+        want.add((d.doc_id, bool(found), str(sorted(i for i, _ in found)), max((v[0] for _, v in found), default=0.0), sum(v[1] for _, v in found)))
+    assert {(r.doc_id, r.contaminated, str(r.item_ids), r.containment, r.slots_changed) for r in decontaminate.decontaminate(docs, bench).collect()} == want
+    assert any(w[1] for w in want)
 
 
 def test_toxicity(spark, docs, empty):
