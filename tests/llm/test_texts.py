@@ -115,3 +115,38 @@ def test_pii(spark, docs, empty):
     r = pii.digest(pii.find_pii(one)).first()
     assert (r.n_email, r.spans, r.base_sha256) == (1, "email:7:13", pii.sha256_of([("email", 7, 13)]))
     assert pii.digest(pii.find_pii(empty)).count() == 0
+
+
+def test_pii_checksum_vetoes():
+    assert pii.find("my bank account GB00 1234 5678 9012 3456 78") == ([], [])
+    good = "GB82 WEST 1234 5698 7654 32"
+    for text in (f"iban {good}.", f"PAY {good} TO THE BANK", f"{good.replace(' ', '')} is the account"):
+        (found,) = [f for f in pii.find(text)[1] if f[0] == "iban"]
+        assert text[found[1] : found[2]].replace(" ", "") == good.replace(" ", "")
+
+
+def test_pii_added_kinds():
+    """Recall of the kinds that the method adds, on planted spans, and none where the context speaks of nothing."""
+    import random
+
+    def iban(r):
+        body = "".join(r.choice("0123456789") for _ in range(18))
+        return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+
+    r = random.Random(4)
+    made = {
+        "iban": lambda: iban(r),
+        "phone_local": lambda: f"{r.randint(200, 999)}-555-{r.randint(1000, 9999)}",
+        "secret": lambda: "a1" + "".join(r.choice("0123456789abcdef") for _ in range(38)),
+    }
+    said = {"iban": "account {}", "phone_local": "call me at {}", "secret": 'token = "{}"'}
+    for kind, make in made.items():
+        hits = 0
+        for _ in range(300):
+            span = make()
+            text = f"some words {said[kind].format(span)} and more words"
+            at = text.index(span)
+            hits += any(f[:3] == (kind, at, at + len(span)) for f in pii.find(text)[1]) or any(f[1] < at + len(span) and at < f[2] for f in pii.base_spans(text))
+            if kind != "iban":
+                assert not [f for f in pii.find(f"some words {span} and more words")[1] if f[0] == kind]
+        assert hits >= 0.99 * 300, (kind, hits)

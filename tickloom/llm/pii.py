@@ -5,7 +5,8 @@ that its validator refuses is dropped and not tried again. The other kinds start
 validator or a telling word nearby raises it, a word that speaks against it lowers it, and spans at THRESHOLD or
 above stay:
 
-* ``iban``: two letters, two digits, 11 to 30 letters or digits; confirmed by the remainder mod 97.
+* ``iban``: two letters, two digits, 11 to 30 letters or digits; the remainder mod 97 must confirm it. What follows in
+  capitals may look like more of it: the longest beginning that ends before a blank and is confirmed counts.
 * ``phone_local``: 3-3-4 digits without a country code; needs a word for telephones nearby.
 * ``secret``: 20 or more letters and digits of both kinds; needs a word for keys nearby.
 
@@ -39,7 +40,7 @@ FOR = {
     "iban": r"iban|bank|account|konto|compte|cuenta",
     "secret": r"token|secret|passw|api[_-]?key|access[_-]?key|\bkey\b|credential",
 }
-AGAINST = r"version|example|sample|isbn|order\s+no|serial"
+AGAINST = r"(?<![\w.@-])(?:version|example|sample|isbn|order\s+no|serial)(?![\w@]|\.\w)"
 #: Score of a pattern alone and once its validator has confirmed it.
 SCORES = {"email": (0.7, 0.9), "ip": (0.4, 0.7), "card": (0.3, 0.8), "phone": (0.4, 0.7), "iban": (0.3, 0.9), "phone_local": (0.4, 0.4), "secret": (0.4, 0.4)}
 
@@ -70,6 +71,18 @@ def mod97(code: str) -> bool:
     return int("".join([str(int(c, 36)) for c in moved])) % 97 == 1
 
 
+def iban_end(code: str) -> int:
+    """Length of the longest confirmed beginning of a proposed IBAN, 0 if there is none."""
+    end = len(code)
+    while len(code[:end].replace(" ", "")) >= 15:
+        if mod97(code[:end].replace(" ", "")):
+            return end
+        end = code.rfind(" ", 0, end)
+        if end < 0:
+            break
+    return 0
+
+
 def emails(text: str) -> list[Span]:
     """From each @ back over what may stand before it, and on over the domain: linear where a scan from the left isn't."""
     out, end, at = [], 0, text.find("@")
@@ -115,7 +128,7 @@ def score(text: str, kind: str, start: int, end: int, confirmed: bool) -> float:
 
 
 def more_spans(text: str, base: list[Span]) -> list[tuple[str, int, int, float]]:
-    """Spans of the other kinds that reach THRESHOLD and don't overlap a base span."""
+    """Spans of the other kinds that reach THRESHOLD. One that overlaps base spans must hold them whole, as a key may hold what looks like a card."""
     starts = [s for _, s, _ in base]
     reach = []
     for _, _, e in base:
@@ -123,18 +136,25 @@ def more_spans(text: str, base: list[Span]) -> list[tuple[str, int, int, float]]
 
     def free(start: int, end: int) -> bool:
         i = bisect_left(starts, end)
-        return not i or reach[i - 1] <= start
+        while i and reach[i - 1] > start:
+            i -= 1
+            _, s, e = base[i]
+            if e > start and (s < start or e > end or (s, e) == (start, end)):
+                return False
+        return True
 
     out = []
     for kind, pattern in (("iban", IBAN), ("phone_local", PHONE_LOCAL), ("secret", SECRET)):
         for m in pattern.finditer(text):
             start, end = m.span()
+            confirmed = False
             if kind == "iban":
-                confirmed = mod97(m[0].replace(" ", ""))
-            else:
-                confirmed = False
-                if kind == "secret" and (m[0].isalpha() or m[0].isdigit()):
+                length = iban_end(m[0])
+                if not length:  # a refused checksum outweighs any context
                     continue
+                end, confirmed = start + length, True
+            elif kind == "secret" and (m[0].isalpha() or m[0].isdigit()):
+                continue
             if free(start, end) and (value := score(text, kind, start, end, confirmed)) >= THRESHOLD:
                 out.append((kind, start, end, value))
     return out
