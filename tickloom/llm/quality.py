@@ -1,14 +1,19 @@
 """Quality rules: two plain rules, then robust multivariate outliers per language and source.
 
 Every text becomes counts and these a transformed vector (FEATURES). For each group of documents that pass the plain
-rules a minimum-covariance-determinant estimate is found by concentration steps: from medians and MADs, keep the
-SHARE of rows with the smallest distances, estimate location and covariance from them, repeat. Covariances get the
-factor that makes them consistent for that share, and a floor on the diagonal, because several features are zero in
-most clean texts. A document beyond CUTOFF (squared Mahalanobis distance) in the direction of junk is rejected.
+rules the location and covariance of the SHARE of rows with the least determinant are looked for by concentration steps:
+keep the SHARE of rows with the smallest distances, estimate from them, repeat. Three starts are taken EARLY steps
+far, the one with the least determinant goes on until its determinant falls no more. Covariances get the factor that
+makes them consistent for that share, and a floor on the diagonal, because several features are zero in most clean
+texts. A document is rejected if its squared Mahalanobis distance is beyond the chi-square quantile of 1 - TAIL and it
+lies in the direction of junk.
+
+Starts, from medians and MADs of the group: the MADs alone; the products of the scaled rows cut down to length one
+(spatial signs); the products of their hyperbolic tangents. Only the order of distances matters in a start.
 
 All of it is DataFrame expressions: counts and windows of words come from array functions inside the row, estimates
 from partial aggregates by group, the Cholesky factor from expressions on one row per group. No group is gathered;
-what is kept between steps is one narrow row per document and one row per group.
+what is kept between steps is one narrow row per document and one row per group and start.
 
 Groups are (lang, source). Sources with fewer than LEAST passing documents are pooled by language, languages with
 fewer in one pool; if that is still smaller, there is no estimate and the plain rules alone decide.
@@ -27,10 +32,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .store import written
 
 SHARE = 0.75
-STEPS = 3
+#: Steps of every start, and most steps in all.
+EARLY, MOST = 2, 12
+#: A step must bring the logarithm of the determinant down by this, or its start has settled.
+SETTLED = 1e-3
 LEAST = 200
-#: Squared distance beyond which a document is an outlier.
-CUTOFF = 60.0
+#: Share of clean documents, were they normal, that lie beyond the cutoff: hardly one in a corpus of billions.
+TAIL = 1e-10
 #: Added to the variances of the features, in their order.
 FLOORS = (0.15, 0.01, 0.06, 0.08, 0.12, 0.06)
 FEATURES = ("log_words", "log_word_length", "symbols", "dup_lines", "repeats", "shouting")
@@ -102,19 +110,25 @@ def chi_square_cdf(x: float, k: int) -> float:
     return total * math.exp(-z + a * math.log(z) - math.lgamma(a))
 
 
+def chi_square_quantile(share: float, k: int) -> float:
+    low, high = 1e-9, 1000.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square_cdf(mid, k) < share else (low, mid)
+    return low
+
+
 def consistency(share: float, p: int) -> float:
     """What the covariance of the innermost ``share`` of a normal sample in ``p`` dimensions is to be multiplied by."""
-    low, high = 1e-9, 200.0
-    for _ in range(100):
-        mid = (low + high) / 2
-        low, high = (mid, high) if chi_square_cdf(mid, p) < share else (low, mid)
-    return share / chi_square_cdf(low, p + 2)
+    return share / chi_square_cdf(chi_square_quantile(share, p), p + 2)
 
 
 P = len(FEATURES)
 X = [f"x{i}" for i in range(P)]
 M = [f"m{i}" for i in range(P)]
 L = {(i, j): f"l{i}{j}" for i in range(P) for j in range(i + 1)}
+#: Squared distance beyond which a document is an outlier.
+CUTOFF = chi_square_quantile(1 - TAIL, P)
 
 
 def distance(x: list[Column]) -> Column:
@@ -123,8 +137,8 @@ def distance(x: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, [F.pow(reduce(lambda a, b: a + b, [F.col(L[i, j]) * off[j] for j in range(i + 1)]), F.lit(2.0)) for i in range(P)])
 
 
-def with_factor(moments: DataFrame, scale: float) -> DataFrame:
-    """Means and cross products (columns m_i, c_ij) -> means and the inverse Cholesky factor of the floored covariance."""
+def with_factor(moments: DataFrame, scale: float, keys: list[str]) -> DataFrame:
+    """Means and cross products (columns m_i, c_ij) -> means, the inverse Cholesky factor of the floored covariance, and the logarithm of its determinant."""
     df = moments
     for i in range(P):
         for j in range(i + 1):
@@ -137,7 +151,8 @@ def with_factor(moments: DataFrame, scale: float) -> DataFrame:
         for j in range(i + 1):
             known = reduce(lambda a, b: a - b, [F.col(f"f{i}{k}") * F.col(L[k, j]) for k in range(j, i)], F.lit(1.0 if i == j else 0.0))
             df = df.withColumn(L[i, j], known / F.col(f"f{i}{i}"))
-    return df.select("g_lang", "g_source", "g_rows", *M, *L.values())
+    log_det = reduce(lambda a, b: a + b, [2 * F.log(F.col(f"f{i}{i}")) for i in range(P)])
+    return df.select(*keys, *M, *L.values(), log_det.alias("log_det"))
 
 
 def groups(stats: DataFrame) -> DataFrame:
@@ -157,21 +172,59 @@ def fit(stats: DataFrame) -> DataFrame:
     rows = written(rows, "quality-vectors")
     named = written(groups(rows), "quality-groups")
     dealt = rows.join(named.where("g_known"), ["lang", "source"]).select("g_lang", "g_source", *X)
-    keys = ["g_lang", "g_source"]
-    middle = dealt.groupBy(*keys).agg(F.count("*").alias("g_rows"), *[F.percentile_approx(x, 0.5, 1000).alias(m) for x, m in zip(X, M, strict=True)])
-    middle = written(middle, "quality-medians")
+    params = written(estimates(dealt, ["g_lang", "g_source"]), "quality-fitted")
+    return named.join(params, ["g_lang", "g_source"], "left").select("lang", "source", *M, *L.values())
+
+
+def sums(rows: DataFrame, keys: list[str], x: list[Column]) -> DataFrame:
+    """Means and mean products."""
+    return rows.groupBy(*keys).agg(*[F.avg(v).alias(m) for v, m in zip(x, M, strict=True)], *[F.avg(x[i] * x[j]).alias(f"c{i}{j}") for i, j in L])
+
+
+def starts(dealt: DataFrame, keys: list[str]) -> DataFrame:
+    """Estimates to begin with, a row per group and ``g_start``."""
+    middle = written(dealt.groupBy(*keys).agg(*[F.percentile_approx(x, 0.5, 1000).alias(f"o{i}") for i, x in enumerate(X)]), "quality-medians")
     off = dealt.join(middle, keys)
-    spread = off.groupBy(*keys, "g_rows", *M).agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(m)), 0.5, 1000).alias(f"s{i}") for i, (x, m) in enumerate(zip(X, M, strict=True))])
-    diagonal = {L[i, j]: 1 / F.sqrt(F.pow(1.4826 * F.col(f"s{i}"), F.lit(2.0)) + FLOORS[i]) if i == j else F.lit(0.0) for i, j in L}
-    params = written(spread.withColumns(diagonal).select(*keys, "g_rows", *M, *L.values()), "quality-start")
-    scale = consistency(SHARE, P)
-    for step in range(STEPS):
-        far = dealt.join(params, keys).select(*keys, "g_rows", *X, distance([F.col(x) for x in X]).alias("d"))
-        edge = far.groupBy(*keys).agg(F.percentile_approx("d", SHARE, 1000).alias("edge"))
-        inner = far.join(written(edge, f"quality-edge{step}"), keys).where("d <= edge")
-        sums = [F.avg(x).alias(m) for x, m in zip(X, M, strict=True)] + [F.avg(F.col(X[i]) * F.col(X[j])).alias(f"c{i}{j}") for i, j in L]
-        params = written(with_factor(inner.groupBy(*keys, "g_rows").agg(*sums), scale), f"quality-params{step}")
-    return named.join(params, keys, "left").select("lang", "source", *M, *L.values())
+    spread = off.groupBy(*keys).agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"o{i}")), 0.5, 1000).alias(f"s{i}") for i, x in enumerate(X)])
+    scale = [F.sqrt(F.pow(1.4826 * F.col(f"s{i}"), F.lit(2.0)) + FLOORS[i]).alias(f"s{i}") for i in range(P)]
+    middle = written(middle.join(spread, keys).select(*keys, *[f"o{i}" for i in range(P)], *scale), "quality-scales")
+    scaled = dealt.join(middle, keys).select(*keys, *[((F.col(x) - F.col(f"o{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i, x in enumerate(X)])
+    z = [F.col(f"z{i}") for i in range(P)]
+    scaled = scaled.withColumn("length", F.greatest(F.sqrt(reduce(lambda a, b: a + b, [v * v for v in z])), F.lit(1e-9)))
+    signs, tangents = ([f(v).alias(f"y{i}") for i, v in enumerate(z)] for f in (lambda v: v / F.col("length") * math.sqrt(P), F.tanh))
+    shapes = scaled.select(*keys, F.inline(F.array(*[F.struct(F.lit(k).alias("g_start"), *y) for k, y in ((1, signs), (2, tangents))])))
+    shapes = sums(shapes, [*keys, "g_start"], [F.col(f"y{i}") for i in range(P)])
+    first = middle.select(*keys, F.lit(0).alias("g_start"), *[F.lit(0.0).alias(m) for m in M], *[F.lit(float(i == j)).alias(f"c{i}{j}") for i, j in L])
+    both = shapes.unionByName(first).join(middle, keys)
+    # Back from scaled rows: about the median, products times both scales.
+    back = both.select(*keys, "g_start", *[F.col(f"o{i}").alias(m) for i, m in enumerate(M)], *[((F.col(f"c{i}{j}") - F.col(M[i]) * F.col(M[j])) * F.col(f"s{i}") * F.col(f"s{j}") + F.col(f"o{i}") * F.col(f"o{j}")).alias(f"c{i}{j}") for i, j in L])
+    return with_factor(back, 1.0, [*keys, "g_start"])
+
+
+def concentrated(dealt: DataFrame, params: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Estimates from the SHARE of rows nearest to ``params``, for every group and start."""
+    own = [*keys, "g_start"]
+    far = dealt.join(params, keys).select(*own, *X, distance([F.col(x) for x in X]).alias("d"))
+    edge = written(far.groupBy(*own).agg(F.percentile_approx("d", SHARE, 1000).alias("edge")), f"quality-edge-{name}")
+    inner = far.join(edge, own).where("d <= edge")
+    return written(with_factor(sums(inner, own, [F.col(x) for x in X]), consistency(SHARE, P), own), f"quality-params-{name}")
+
+
+def estimates(dealt: DataFrame, keys: list[str]) -> DataFrame:
+    """The estimate of least determinant of every group (columns X and ``keys``)."""
+    params = written(starts(dealt, keys), "quality-starts")
+    for step in range(EARLY):
+        params = concentrated(dealt, params, keys, str(step))
+    value = F.struct("log_det", "g_start", *M, *L.values())
+    best = params.groupBy(*keys).agg(F.min(value).alias("v")).select(*keys, "v.*")
+    for step in range(EARLY, MOST):
+        best = written(best, f"quality-best-{step}")
+        then = concentrated(dealt, best, keys, str(step)).select(*keys, F.struct("log_det", "g_start", *M, *L.values()).alias("now"))
+        both = best.select(*keys, value.alias("was")).join(then, keys)
+        if both.where(F.col("now.log_det") < F.col("was.log_det") - SETTLED).isEmpty():
+            break
+        best = both.select(*keys, F.least("was", "now").alias("v")).select(*keys, "v.*")
+    return best
 
 
 def outlier(x: list[Column]) -> Column:
