@@ -2,6 +2,7 @@
 
 import os
 import re
+import zlib
 from collections import Counter
 from contextlib import contextmanager
 
@@ -184,6 +185,54 @@ def test_quality_outliers(spark):
     assert abs(quality.chi_square_cdf(6.6257, 5) - 0.75) < 1e-4
 
 
+def plain_mcd(x, starts=60):
+    """Least determinant over random starts, exact quantiles, the operator's floors."""
+    r = np.random.default_rng(0)
+    floors, h, scale = np.array(quality.FLOORS), int(np.ceil(quality.SHARE * len(x))), quality.consistency(quality.SHARE, quality.P)
+
+    def estimate(rows):
+        m = rows.mean(axis=0)
+        return m, np.cov(rows.T, bias=True) * scale + np.diag(floors)
+
+    best = None
+    for _ in range(starts):
+        m, c = estimate(x[r.choice(len(x), 2 * quality.P, replace=False)])
+        for _ in range(30):
+            off = x - m
+            d = np.einsum("ij,jk,ik->i", off, np.linalg.inv(c), off)
+            m, c = estimate(x[np.argsort(d, kind="stable")[:h]])
+        found = np.linalg.slogdet(c)[1]
+        if best is None or found < best[0]:
+            best = found, m, c
+    return best
+
+
+def test_quality_estimates(spark):
+    r = np.random.default_rng(7)
+    groups = {}
+    for name, share in (("clean", 0.0), ("dirty", 0.2)):
+        x = r.normal(size=(800, quality.P)) @ np.triu(r.normal(size=(quality.P, quality.P)) * 0.4 + np.eye(quality.P))
+        bad = int(share * len(x))
+        x[:bad] = r.normal(size=(bad, quality.P)) * 0.1 + 8  # a tight clump, which hides from plain covariances
+        groups[name] = x
+    rows = [(g, "s", *map(float, v)) for g, x in groups.items() for v in x]
+    d = spark.createDataFrame(rows, "g_lang string, g_source string, " + ", ".join(f"{c} double" for c in quality.X))
+    found = {row.g_lang: row for row in quality.estimates(d, ["g_lang", "g_source"]).collect()}
+    for g, x in groups.items():
+        want, m, c = plain_mcd(x)
+        assert abs(found[g].log_det - want) < 0.1
+        got = np.array([found[g][k] for k in quality.M])
+        factor = np.zeros((quality.P, quality.P))
+        for (i, j), k in quality.L.items():
+            factor[i, j] = found[g][k]
+        assert np.abs(got - m).max() < 0.1
+        far = ((x - got) @ factor.T) ** 2
+        off = x - m
+        assert np.corrcoef(far.sum(axis=1), np.einsum("ij,jk,ik->i", off, np.linalg.inv(c), off))[0, 1] > 0.999
+    # By a table: the upper tail of chi-square with six degrees is 0.001 at 22.458.
+    assert abs(quality.chi_square_quantile(0.999, 6) - 22.458) < 0.01 and 50 < quality.CUTOFF < 70
+
+
 def test_decontamination(spark, docs, empty):
     items = [(1, "If Alice has 12 apples and gives 5 apples to Bob then how many apples remain with Alice after 3 days"), (2, prose(3, 61).split("\n")[0]), (3, None), (4, "two words"), (None, "")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -276,8 +325,6 @@ def test_decontamination_plain(spark):
 
 
 def test_toxicity(spark, docs, empty):
-    import zlib
-
     bad = ["grumblork", "snarfwit", "blatherskate"]
     rows = [(i, prose(i, 60) + (f" {bad[i % 3]} {prose(i + 1, 5)} you {bad[(i + 1) % 3]} here" if i % 4 == 0 else "")) for i in range(600)]
     d = spark.createDataFrame([*rows, (None, None), (9999, "")], "doc_id long, text string")
@@ -290,6 +337,41 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(docs, labels.where("false")).count() == docs.count() and toxicity.score(empty, labels).count() == 0
 
 
+def test_label_model():
+    r = np.random.default_rng(2)
+    toxic = r.random(400) < 0.3
+    votes = np.stack([r.random(400) < np.where(toxic, a, b) for a, b in ((0.7, 0.05), (0.5, 0.02), (0.1, 0.1))], axis=1)
+    votes = np.concatenate([votes, votes[:, :1]], axis=1).astype(float)  # the last voter says what the first does
+    labels = np.where(r.random(400) < 0.5, np.where(r.random(400) < 0.05, ~toxic, toxic), -1)
+    post, model, seen = toxicity.label_model(votes, labels, np.ones(400))
+    assert all(b >= a - 1e-9 * abs(a) for a, b in zip(seen, seen[1:]))
+    assert model.parent[0] == 3 or model.parent[3] == 0
+    # Every row by the plain formula.
+    for i in range(400):
+        p = []
+        for c, prior in ((0, 1 - model.prior), (1, model.prior)):
+            for j in range(4):
+                up = model.parent[j]
+                rate = model.rates[c, int(up >= 0 and votes[i, up] > 0), j]
+                prior *= rate if votes[i, j] else 1 - rate
+            prior *= {1: model.given[c], 0: 1 - model.given[c], -1: 1.0}[int(labels[i])]
+            p.append(prior)
+        assert abs(p[1] / sum(p) - post[i]) < 1e-6
+    # A copied voter brings no evidence of its own.
+    once, _, _ = toxicity.label_model(votes[:, :3], labels, np.ones(400))
+    assert np.abs(once - post).max() < 0.05 and ((post > 0.5) == toxic)[labels >= 0].mean() > 0.9
+
+
+def test_toxicity_repeated_rows(spark):
+    rows = [(i % 50, prose(i % 50, 40) + (" you utter grumblork snarfwit" if i % 50 % 3 == 0 else "")) for i in range(200)]
+    d = spark.createDataFrame([*rows, (3, "another text of document 3")], "doc_id long, text string").withColumn("id", F.lit("x")).withColumn("toxic", F.lit("y"))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(50)] * 2 + [(1, None), (None, 1)], "doc_id long, toxic int")
+    toxic, clean, _ = toxicity.training_rows(d, labels)
+    assert len(toxic) + len(clean) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(50))
+    out = toxicity.score(d, labels).collect()
+    assert len(out) == 201 and len({(r.doc_id, r.score) for r in out}) <= 51
+
+
 PAGE = '<html><head><title>t</title><script>var a="</p>";</script></head><body><header class="site">Site</header><nav><ul><li><a href="/">x</a></li><li><a href="/b">y</a></li></ul></nav><div class="ad">Buy {k}</div>{body}<div class="comments"><p>nice {k}</p></div><footer>&copy; f</footer></body></html>'
 
 
