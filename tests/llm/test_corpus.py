@@ -444,11 +444,67 @@ def test_wrappers_depth():
         body = root.kids[0].kids[0]
         assert [k.tag for k in body.kids] == ["div"] and [k.tag for k in body.kids[0].kids] == ["article", "p"]
         article = body.kids[0].kids[0]
-        spec = '{"regions": ["//html/body/div/article"], "fixed": []}'
+        spec = '{"regions": ["//html/body/div/article"], "skip": []}'
         text = wrappers.Reader(spec).read(root, wrappers.slots(root)).split("\n")
         assert text[0] == "before" and text[-2:] == ["after", "last"] and "deep" in "".join(text) and article.tag == "article"
 
 
+def test_wrappers_keep(spark):
+    """What earlier versions lost."""
+    pages = [
+        ('<body class="has-sidebar"><div class="page with-menu"><article><h1>A</h1><p>text {k}</p><h3>Summary</h3></article><div class="sidebar"><p>no</p></div></div></body>', "A\ntext {k}\nSummary"),
+        ('<article id="post-search-1"><p>text {k} <math>x+1</math></p></article>', "text {k} x+1"),
+        ('<form id="all"><article><header><h1>A</h1></header><p>text {k}</p><form>no</form></article></form>', "A\ntext {k}"),
+        ('<article><p>text {k}</p></article><div class="comments"><article class="comment"><p>no {k}</p></article></div>', "text {k}"),
+        ('<article class="comment"><p>only {k}</p></article>', "only {k}"),
+        ("<body>" + "<div>" * 80 + "<nav>no</nav><p>yes {k}</p>" + "</div>" * 80 + "</body>", "yes {k}"),
+    ]
+    rows = [(f"http://h{i}.example/{k}", html.replace("{k}", str(k))) for i, (html, _) in enumerate(pages) for k in range(3)]
+    assert wrapped(spark, rows) == [text.replace("{k}", str(k)) for _, text in pages for k in range(3)]
+
+
+def test_wrappers_need_the_host(spark):
+    """Regions that no page shows by itself: the wrapper of all pages of the host decides."""
+    info = "<div class='info'><p>" + "Same words on every page of it, and many more of them than the rest has. " * 3 + "</p></div>"
+    changing = [f"<body>{info}<div class='text'><p>Few words {k}.</p><p>And some {k} more.</p></div></body>" for k in range(4)]
+    got = wrapped(spark, [("http://g.example/", p) for p in changing])
+    assert got == [f"Few words {k}.\nAnd some {k} more." for k in range(4)]
+    # Teasers repeat on some pages, so they are a list where there is one of them as well.
+    teasers = [f"<body><article class='post'><p>Post {k}.</p></article>" + f"<article class='card'><p>Card {k}</p></article>" * n + "</body>" for k, n in enumerate((1, 3, 2))]
+    assert wrapped(spark, [("http://i.example/", p) for p in teasers]) == [f"Post {k}." for k in range(3)]
+    alone = wrapped(spark, [("http://j.example/", changing[0]), ("http://k.example/", teasers[0])])
+    assert alone[0].startswith("Same words") and alone[1] == "Post 0.\nCard 0"
+
+
+def test_wrappers_linear():
+    import time
+
+    for page in ("<!" * 40_000, "<textarea/>" * 20_000, "<font>" * 20_000 + "<p>x" * 5_000, "<div>" * 20_000 + "x" + "</b>" * 20_000, "<a '" * 30_000, "<b><p>" * 8_000, "</x>" * 50_000):
+        start = time.time()
+        root = wrappers.parse(page)
+        wrappers.slots(root)
+        wrappers.skeleton(root)
+        assert time.time() - start < 10
+
+
+def plain_article(page):
+    """Blocks of the article by patterns alone, for pages of plain paragraphs."""
+    import html
+
+    inner = re.search(r"<article>(.*?)</article>", page, re.S)
+    blocks = re.split(r"</?(?:p|h1)>", inner[1].replace("<br>", " ")) if inner else []
+    texts = [" ".join(html.unescape(re.sub(r"</?b>", "", b)).split()) for b in blocks]
+    return "\n".join(t for t in texts if t)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_wrappers_plain(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r.page_id: (r.text, r.n_chars) for r in wrappers.main_text(pages.withColumn("id", F.lit(1)).withColumn("host", F.lit(2))).collect()}
+    want = {r.page_id: plain_article(r.html) for r in pages.collect()}
+    assert got == {i: (t, len(t)) for i, t in want.items()} and all(want.values())
+
+
 def test_wrapper_alignment():
     one = wrappers.skeleton(wrappers.parse("<div><p>a</p><p>b</p><hr><h2>x</h2></div>"))
     two = wrappers.skeleton(wrappers.parse("<div><p>a</p><table><tr><td>1</td></tr></table><h2>x</h2></div>"))

@@ -7,20 +7,22 @@
 2. The skeletons of a template are aligned one after another into its wrapper. Where children differ, what only one side
    has becomes an optional group, neighbours of one name a repeated group; text stays a slot. Templates with more than
    ALIGNED skeletons are aligned in parts, then the parts' wrappers, in as many rounds as it takes.
-3. For every slot of a template it is known how much text it holds, how much of that in links, and whether it is the
-   same on all pages (on those of the host, if the template has one page). With these the content region of the wrapper
-   is marked: article or main elements, else the element that holds most of the changing text outside links. Menus,
-   headers, footers, sidebars, adverts, forms and comments, told by element or class, are cut out of it; so are slots
-   outside article and main that repeat one short text on three pages or more. Copies of a page count as one page. If
-   nothing changes, all that isn't cut is read.
-4. A page is read along the wrapper of its template: blocks of the region, in order; a page without text there is read
-   by a region marked from its own slots.
+3. With the wrapper and what is known of every slot of the template (how much text it holds, how much of that in links,
+   whether it is the same on all pages, or on those of the host if the template has one page) the content region is
+   marked: article or main elements, else the element that holds most of the changing text outside links. Of article
+   elements those in repeated groups (teasers, lists) give way to one that stands alone, on all pages, even on those
+   that have a single teaser. Copies of a page count as one page. If nothing changes, all that isn't cut is read.
+4. A page is read along the wrapper of its template: blocks of the region, in order, but for menus, headers, footers,
+   sidebars, adverts, forms and comments, told by element or class; class words cut neither html and body nor what holds
+   an article. A page without text in the region is read by a region marked from its own slots.
 
 Wrappers go to the pages as a broadcast while they are smaller than WRAPPER_BYTES in all, else by a join on the template.
 
 Defined results: null html counts as empty and gives ""; null or odd urls have host "", whose
 pages share templates but no other facts; broken markup is read as far as
 it goes (open elements end where their parent or the page does); repeated pages give repeated results; no page is cut.
+Elements of any depth are read and cut by their own names; regions lie at most DEEPEST elements deep. Other columns of
+the pages, whatever their names, are ignored; ids are integers.
 """
 
 from __future__ import annotations
@@ -42,16 +44,15 @@ from .store import written
 
 ALIGNED = 200
 WRAPPER_BYTES = 16 << 20
-#: A slot with one text on all pages is cut if it is no longer than this.
-CONSTANT_CHARS = 200
-CONSTANT_PAGES = 3
-#: Depth below which elements are read as part of their parent.
+#: Distinct pages of a slot are counted up to so many.
+COUNTED_PAGES = 3
+#: Depth below which elements share the path of their parent.
 DEEPEST = 60
 
 # HTML element names by kind, and class words of what isn't article.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-RAW = set("script style noscript template textarea iframe svg math title select".split())
-INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = set("script style noscript template textarea iframe svg title select".split())
+INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover semantics".split())
 #: End tags of BOUND don't close anything outside the innermost of BOUNDS.
 BOUND = INLINE | {"p", "li"}
 BOUNDS = {"article", "main", "body", "table"}
@@ -66,6 +67,11 @@ CUT_WORDS = set(
     ).split()
 )
 CUT_HEADS = {"header"}
+ARTICLES = {"article", "main"}
+#: What cuts an element even if it holds an article.
+CUT_ALWAYS = {"nav", "footer", "aside", "head", "menu"}
+#: Beginnings of class names that say something of the layout and name no part of it.
+ABOUT = ("has-", "no-", "with-", "without-", "is-", "not-")
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[A-Za-z](?:[^<>\"']|\"[^\"]*\"|'[^']*')*>|</?[A-Za-z][^<>]*>|[^<]+|<", re.S)
 NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)")
@@ -75,25 +81,29 @@ CLASS_WORD = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "key", "kids", "words")
+    """``block``: an inline element that has a block inside; ``holds``: an article, or it has one inside."""
+
+    __slots__ = ("tag", "key", "kids", "words", "block", "holds")
 
     def __init__(self, tag: str, key: str, words: frozenset[str]):
         self.tag, self.key, self.words = tag, key, words
         self.kids: list[Element | str] = []
+        self.block = self.holds = False
 
 
 _keys: dict[str, tuple[str, str, frozenset[str]]] = {}
 
 
 def opened(token: str) -> tuple[str, str, frozenset[str]]:
-    """(name, key, class words) of a start tag. Digits in classes don't tell elements apart."""
+    """(name, key, class words) of a start tag. Digits in classes don't tell elements apart; the id of an article names it alone."""
     known = _keys.get(token)
     if known is None:
         tag = NAME.match(token)[1].lower()
         parts, words = [], set()
         for name, value in ATTRIBUTE.findall(token) if "=" in token else ():
             value = value.strip("\"'").lower()
-            words |= set(CLASS_WORD.findall(value))
+            if name.lower() != "id" or tag not in ARTICLES:
+                words |= {w for c in value.split() if not c.startswith(ABOUT) for w in CLASS_WORD.findall(c)}
             if name.lower() != "id":
                 parts += sorted(re.sub(r"\d+", "", value).split())
         known = tag, ".".join([tag, *parts]), frozenset(words)
@@ -104,13 +114,31 @@ def opened(token: str) -> tuple[str, str, frozenset[str]]:
     return known
 
 
+def mark(stack: list[Element]) -> None:
+    """The last of the stack is an article, the others hold it."""
+    for e in reversed(stack):
+        if e.holds:
+            break
+        e.holds = True
+
+
 def parse(page: str) -> Element:
     """The elements of a page; raw elements (scripts, styles and the like) are left out with all they hold."""
     root = Element("", "", frozenset())
     stack = [root]
-    deep: dict[str, int] = {}  # open elements below DEEPEST by name; all of them are inside the top of the stack
-    at, n = 0, len(page)
+    names: dict[str, int] = {}  # open elements by name
+    last = page.rfind(">")
+
+    def close(i: int) -> None:
+        for e in stack[i:]:
+            names[e.tag] -= 1
+        del stack[i:]
+
+    at, n, doubtful = 0, len(page), []
     while at < n:
+        if page[at] == "<" and at > last and not page.startswith("<!--", at):  # no tag from here on
+            stack[-1].kids.append(page[at:])
+            break
         m = TOKEN.match(page, at)
         token = m[0]
         at = m.end()
@@ -121,42 +149,46 @@ def parse(page: str) -> Element:
             continue
         name = NAME.match(token)[1].lower()
         if token[1] == "/":
-            if name in deep:
-                if deep[name] > 1:
-                    deep[name] -= 1
-                else:
-                    del deep[name]
-                continue
-            if deep and name in BOUND and not deep.keys().isdisjoint(BOUNDS):
-                continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == name:
-                    del stack[i:]
-                    deep.clear()
-                    break
-                if stack[i].tag in BOUNDS and name in BOUND:
-                    break
+            if names.get(name):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag == name:
+                        close(i)
+                        break
+                    if stack[i].tag in BOUNDS and name in BOUND:
+                        break
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             if token[-2] != "/":
+                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else n
             continue
         tag, key, words = opened(token)
-        if tag not in INLINE and not deep:
-            for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph, an item its sibling
-                if stack[i].tag == "p" or stack[i].tag in SIBLINGS.get(tag, ()):
-                    del stack[i:]
-                    break
-                if stack[i].tag not in INLINE:
+        if tag not in INLINE:
+            ended = SIBLINGS.get(tag, ())
+            if names.get("p") or any(names.get(t) for t in ended):
+                for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph, an item its sibling
+                    if stack[i].tag == "p" or stack[i].tag in ended:
+                        close(i)
+                        break
+                    if stack[i].tag not in INLINE:
+                        break
+            for e in reversed(stack):
+                if e.tag not in INLINE or e.block:
                     break
+                e.block = True
         e = Element(tag, key, words)
         stack[-1].kids.append(e)
         if tag not in VOID and token[-2] != "/":
-            if len(stack) < DEEPEST:
-                stack.append(e)
-            else:
-                deep[tag] = deep.get(tag, 0) + 1
+            stack.append(e)
+            names[tag] = names.get(tag, 0) + 1
+            if tag in ARTICLES:
+                if not words & CUT_WORDS:
+                    mark(stack)
+                elif not root.holds:
+                    doubtful.append(list(stack))
+    if not root.holds:  # class words speak against all articles: then they don't count
+        for path in doubtful:
+            mark(path)
     return root
 
 
@@ -210,57 +242,92 @@ def align(a: list[list], b: list[list]) -> list[list]:
     return fold(out)
 
 
-def skeleton(e: Element) -> list:
+def skeleton(e: Element, depth: int = 0) -> list:
     kids: list[list] = []
     text = False
     for k in e.kids:
         if isinstance(k, str):
             text = text or not k.isspace()
-        elif k.tag in INLINE and not has_block(k):
+        elif is_text(k) or depth >= DEEPEST:
             text = True
         else:
-            kids.append(skeleton(k))
+            kids.append(skeleton(k, depth + 1))
     return [e.key, 0, 0, ([["#", 0, 0, []]] if text else []) + fold(kids)]
 
 
-def has_block(e: Element) -> bool:
-    return any(not isinstance(k, str) and (k.tag not in INLINE or has_block(k)) for k in e.kids)
+def is_text(e: Element) -> bool:
+    """An element inside a line."""
+    return e.tag in INLINE and not e.block
 
 
 def cut(e: Element, inside: bool) -> bool:
+    if e.holds:
+        return e.tag in CUT_ALWAYS
+    if e.tag in ("html", "body"):
+        return False
     if e.tag in CUT or e.words & CUT_WORDS:
         return True
     return not inside and (e.tag in CUT_OUTSIDE_ARTICLE or bool(e.words & CUT_HEADS))
 
 
-def slots(e: Element, path: str = "", inside: bool = False, out: dict | None = None) -> dict[str, list]:
-    """path of an element with text of its own -> [text, characters, characters in links, times]; cut elements are left out."""
-    out = {} if out is None else out
-    here = f"{path}/{e.key}"
-    own, linked = [], 0
-    for k in e.kids:
-        if isinstance(k, str):
-            own.append(k)
-        elif k.tag in INLINE and not has_block(k):
-            t = inline_text(k)
-            own.append(t)
-            linked += len(t) if k.tag == "a" else 0
-        elif not cut(k, inside or k.tag in ("article", "main")):
-            slots(k, here, inside or k.tag in ("article", "main"), out)
-    text = " ".join("".join(own).split())
-    if text:
-        s = out.setdefault(here, [text, 0, 0, 0])
-        s[0] = s[0] if s[0] == text else None
-        s[1] += len(text)
-        s[2] += linked
-        s[3] += 1
+def walk(root: Element, regions: frozenset[str] = frozenset()) -> Iterator[tuple[str, list[str], int]]:
+    """Blocks of a page in order, without what is cut: (path, pieces of text, characters in links). Headers of ``regions`` and articles belong to them. No recursion: pages may be deep."""
+    own: list[str] = []
+    linked = 0
+    todo: list[tuple] = [(root, "", 0, False, 0)]
+    while todo:
+        e, path, depth, inside, at = todo.pop()
+        here = f"{path}/{e.key}" if not at and depth <= DEEPEST else path
+        inside = inside or e.tag in ARTICLES or here in regions
+        while at < len(e.kids):
+            k = e.kids[at]
+            at += 1
+            if isinstance(k, str):
+                own.append(k)
+            elif is_text(k):
+                if not k.words & CUT_WORDS:
+                    t = inline_text(k)
+                    own.append(t)
+                    linked += len(t) if k.tag == "a" else 0
+            else:
+                if own:
+                    yield here, own, linked
+                    own, linked = [], 0
+                if k.tag != "hr" and not cut(k, inside or k.tag in ARTICLES):
+                    todo += [(e, here, depth, inside, at), (k, here, depth + 1, inside, 0)]
+                    break
+        else:
+            if own:
+                yield here, own, linked
+                own, linked = [], 0
+
+
+def slots(root: Element) -> dict[str, list]:
+    """path of an element with text of its own -> [text (null of several), characters, characters in links, times]."""
+    out: dict[str, list] = {}
+    for here, own, linked in walk(root):
+        text = " ".join("".join(own).split())
+        if text:
+            s = out.setdefault(here, [text, 0, 0, 0])
+            s[0] = s[0] if s[0] == text else None
+            s[1] += len(text)
+            s[2] += linked
+            s[3] += 1
     return out
 
 
 def inline_text(e: Element) -> str:
-    if e.tag in ("br", "wbr", "img"):
-        return " " if e.tag == "br" else ""
-    return "".join([k if isinstance(k, str) else inline_text(k) for k in e.kids])
+    out: list[str] = []
+    todo: list[Element | str] = [e]
+    while todo:
+        k = todo.pop()
+        if isinstance(k, str):
+            out.append(k)
+        elif k.tag == "br":
+            out.append(" ")
+        else:
+            todo += reversed(k.kids)
+    return "".join(out)
 
 
 def host_of(url: str | None) -> str:
@@ -296,7 +363,7 @@ def template_of(url: str | None, own: dict[str, list]) -> str:
 def inspect(pages: DataFrame) -> DataFrame:
     """(url, html) -> ``host`` (with template)``, kind, value`` with sums: kind "s" for skeletons, "t" for slots; summed up within slices.
 
-    ``pages``: distinct pages of a slot, exact up to CONSTANT_PAGES; a slice names so many of them by hash.
+    ``pages``: distinct pages of a slot, exact up to COUNTED_PAGES; a slice names so many of them by hash.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +384,7 @@ def inspect(pages: DataFrame) -> DataFrame:
                         s[3] += chars
                         s[4] += linked
                         if digest not in s[5]:
-                            s[5] = tuple(sorted((*s[5], digest))[:CONSTANT_PAGES])
+                            s[5] = tuple(sorted((*s[5], digest))[:COUNTED_PAGES])
                 host, kind, value = zip(*rows, strict=True) if rows else ((), (), ())
                 n, low, high, chars, linked, digests = zip(*rows.values(), strict=True) if rows else ((),) * 6
                 yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.string()) for x in (host, kind, value)), *(pa.array(x, pa.int64()) for x in (n, low, high, chars, linked)), pa.array([list(x) for x in digests], pa.list_(pa.int64()))], names=["host", "kind", "value", "n", "low", "high", "chars", "linked", "pages"])
@@ -342,34 +409,35 @@ def region_of(wrapper: list, seen: list[dict], constant: frozenset[str] = frozen
 
     ``constant``: slots with one text on all pages of the host, for slots that one page of the template has.
     """
-    found: list[str] = []
+    found: dict[str, int] = {}  # articles -> whether they are repeated
 
-    def search(node: list, path: str) -> None:
+    def search(node: list, path: str, repeated: int) -> None:
         here = path if node[0] == "()" else f"{path}/{node[0]}"
+        repeated |= node[2]
         tag = node[0].split(".")[0]
-        words = set(CLASS_WORD.findall(node[0])) - {tag}
-        if tag in CUT or words & CUT_WORDS:
-            return
-        if tag in ("article", "main") or words & {"main"} and "role" in node[0]:
-            found.append(here)
+        if tag in CUT_ALWAYS:
             return
+        if tag in ARTICLES or "role" in node[0] and "main" in CLASS_WORD.findall(node[0]):
+            found[here] = found.get(here, 0) | repeated
         for k in node[3]:
-            search(k, here)
-
-    search(wrapper, "")
-    regions = sorted(set(found))
-    with_text = [r for r in regions if any(s["path"].startswith(r + "/") or s["path"] == r for s in seen)]
-    regions = with_text or regions
-    if not with_text:
-        # Text that changes from page to page and isn't a link, summed over each element's inside.
-        changing = [s for s in seen if (s["low"] != s["high"] if s["pages"] > 1 else s["path"] not in constant)]
-        regions = most({s["path"]: max(0, s["chars"] - 2 * s["linked"]) for s in changing})
-    if with_text or not regions:
-        return {"regions": regions or ["/"], "fixed": []}
-    inside = [s for s in seen if any(s["path"] == r or s["path"].startswith(r + "/") for r in regions)]
-    changing = any(s["low"] != s["high"] for s in inside)
-    fixed = [s["path"] for s in inside if changing and s["low"] == s["high"] and s["low"] >= 0 and s["pages"] >= CONSTANT_PAGES and s["chars"] <= CONSTANT_CHARS * s["n"] and s["path"].rsplit("/", 1)[1].split(".")[0] not in ("h1", "h2")]
-    return {"regions": regions, "fixed": fixed}
+            search(k, here, repeated)
+
+    search(wrapper, "", 0)
+
+    def within(path: str, region: str) -> bool:
+        return path == region or path.startswith(region + "/")
+
+    with_text = {r: repeated for r, repeated in found.items() if any(within(s["path"], r) for s in seen)}
+    if with_text:
+        alone = [r for r, repeated in with_text.items() if not repeated]
+        tops = [r for r in alone or with_text if not any(r != o and within(r, o) for o in alone or with_text)]
+        # An article that stands alone is the article; main alone is only where to look for one.
+        lists = [r for r, repeated in with_text.items() if repeated and r.rsplit("/", 1)[1].split(".")[0] == "article"]
+        single = any(r.rsplit("/", 1)[1].split(".")[0] == "article" for r in alone)
+        return {"regions": sorted(tops), "skip": sorted(lists) if single else []}
+    # Text that changes from page to page and isn't a link, summed over each element's inside.
+    changing = [s for s in seen if (s["low"] != s["high"] if s["pages"] > 1 else s["path"] not in constant)]
+    return {"regions": most({s["path"]: max(0, s["chars"] - 2 * s["linked"]) for s in changing}) or ["/"], "skip": []}
 
 
 def infer(pages: DataFrame) -> DataFrame:
@@ -406,41 +474,26 @@ class Reader:
 
     def __init__(self, region: str):
         spec = json.loads(region)
-        self.regions, self.fixed = set(spec["regions"]), set(spec["fixed"])
+        self.regions, self.skip = frozenset(spec["regions"]), frozenset(spec["skip"])
+        self.known: dict[str, bool] = {}
+
+    def reads(self, path: str) -> bool:
+        found = self.known.get(path)
+        if found is None:
+            if len(self.known) > 20_000:
+                self.known.clear()
+            found = self.known[path] = any(path == r or path.startswith(r if r == "/" else r + "/") for r in self.regions) and not any(path == r or path.startswith(r + "/") for r in self.skip)
+        return found
 
     def read(self, root: Element, own: dict[str, list]) -> str:
-        blocks: list[str] = []
-        self.walk(root, "", False, False, blocks)
+        blocks = self.blocks(root)
         if own and not blocks:  # none of the regions is on this page
-            Reader(json.dumps({"regions": own_regions(own), "fixed": []})).walk(root, "", False, False, blocks)
+            blocks = Reader(json.dumps({"regions": own_regions(own), "skip": []})).blocks(root)
         return "\n".join(blocks)
 
-    def walk(self, e: Element, path: str, reading: bool, inside: bool, blocks: list[str]) -> None:
-        here = f"{path}/{e.key}"
-        reading = reading or here in self.regions
-        inside = inside or e.tag in ("article", "main") or reading
-        own: list[str] = []
-
-        def flush() -> None:
-            text = " ".join(entities.unescape("".join(own)).split())
-            own.clear()
-            if text and reading and here not in self.fixed:
-                blocks.append(text)
-
-        for k in e.kids:
-            if isinstance(k, str):
-                own.append(k)
-            elif k.tag in INLINE and not has_block(k):
-                if not (k.words & CUT_WORDS):
-                    own.append(inline_text(k))
-            elif k.tag == "hr":
-                flush()
-            elif not cut(k, inside or k.tag in ("article", "main")):
-                flush()
-                self.walk(k, here, reading, inside, blocks)
-            else:
-                flush()
-        flush()
+    def blocks(self, root: Element) -> list[str]:
+        texts = (" ".join(entities.unescape("".join(own)).split()) for path, own, _ in walk(root, self.regions) if self.reads(path))
+        return [t for t in texts if t]
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -464,7 +517,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                             region = known.value.get(template_of(url, own))
                         if len(readers) > 5_000:
                             readers.clear()
-                        reader = readers.get(region) or readers.setdefault(region, Reader(region or '{"regions": [], "fixed": []}'))
+                        reader = readers.get(region) or readers.setdefault(region, Reader(region or '{"regions": [], "skip": []}'))
                         texts.append(reader.read(root, own))
                     yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
