@@ -92,3 +92,29 @@ def test_stream(spark, tmp_path):
     q = stream_bars(stream, "standard", {"threshold": 300.0}).writeStream.format("memory").queryName("streamed").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert [(r.bar_id, r.theta_k) for r in spark.table("streamed").orderBy("bar_id").collect()] == [(0, 99.0), (1, -103.0)]
+
+
+def test_chunks_in_many_tasks(spark):
+    """A rule that restarts by chunk must not deal the chunks of one symbol to different kernels."""
+    rng = np.random.default_rng(4)
+    price, qty = rng.uniform(50, 150, 4000).round(2), rng.exponential(3, 4000).round(3)
+    rows = [("A" if i % 3 else None, i, i * 1000, float(p), float(q), float(p * q), i // 100) for i, (p, q) in enumerate(zip(price, qty))]
+    t = spark.createDataFrame(rows, "symbol string, trade_id long, ms long, price double, qty double, quote_qty double, chunk int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(map(str, bars(t.repartition(8), "standard", {"threshold": 20_000.0}, reset_key="chunk").collect()))
+        ids = [r.bar_id for r in bars(t.repartition(8), "standard", {"threshold": 20_000.0}, reset_key="chunk").where("symbol = 'A'").collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(ids) == list(range(len(ids))) and len(ids) > 10
+    assert got == sorted(map(str, bars(t.coalesce(1), "standard", {"threshold": 20_000.0}, reset_key="chunk").collect()))
+
+
+def test_sweep_is_each_alone(spark):
+    from tickloom.operators.bars import bars_sweep
+
+    t = golden(spark, 3)
+    grid = [{"threshold": 150.0}, {"threshold": 300.0}]
+    swept = bars_sweep(t, "standard", grid, emit_partial=True).orderBy("param_id", "bar_id").collect()
+    alone = [(i, *r) for i, p in enumerate(grid) for r in bars(t, "standard", p, emit_partial=True).orderBy("bar_id").collect()]
+    assert [tuple(r) for r in swept] == alone

@@ -23,6 +23,14 @@ def test_csv(spark, tmp_path):
     assert csv.read_csv(spark, str(tmp_path / "out")).count() == 3
 
 
+def test_csv_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Time,is_buyer_maker,id,note,quote_qty,QTY,price\n1704067201000,true,10,x,84020.0,2,42010.0\n1704067201001,true,11,84020.0,2,42010.0\n")
+    (tmp_path / "b.csv").write_text(SPOT)
+    rows = csv.read_csv(spark, str(tmp_path / "*.csv")).orderBy("trade_id").collect()
+    assert [(r.trade_id, r.price, r.qty, r.quoteQty, r.isBuyerMaker, r.isBestMatch) for r in rows] == [(1, 42000.10, 0.5, 21000.05, True, True), (2, 42000.10, 0.1, 4200.01, False, True), (10, 42010.0, 2.0, 84020.0, True, False)]
+    assert csv.read_csv(spark, str(tmp_path / "b.csv"), headers=False).count() == 2
+
+
 def test_archives(spark, tmp_path):
     for name, members in (("A-trades-2024-01.zip", {"a.csv": SPOT, "sub/b.csv": SPOT}), ("B-trades-2024-01.zip", {"x.csv": SPOT, "y.csv": SPOT + BAD * 20})):
         with zipfile.ZipFile(tmp_path / name, "w") as z:

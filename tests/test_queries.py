@@ -54,3 +54,19 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_entry_without_the_corpus_part(tmp_path):
+    """The engine alone, as it is when the optional folders are gone."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    top = Path(__file__).resolve().parents[1]
+    shutil.copytree(top / "tickloom", tmp_path / "tickloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (top / name).exists():
+            shutil.copy(top / name, tmp_path / name)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'standard_dollar_bars' in q and 'pipeline' not in q and set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .. import schema
 from ..ship import ship
@@ -28,49 +29,55 @@ KERNELS = {
 }
 
 
-def _over_groups(signed: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], make: Callable[[dict], kernels.Kernel], fields: str, param_cols: tuple[str, ...], emit_partial: bool, trace: bool) -> DataFrame:
+def _borders(columns: list[pa.Array], n: int) -> list[int]:
+    """Rows of a batch where a group begins or the batch ends."""
+    changed = np.zeros(max(0, n - 1), bool)
+    for c in columns:
+        before, after = c.slice(0, n - 1), c.slice(1)
+        changed |= pc.fill_null(pc.not_equal(before, after), False).to_numpy(zero_copy_only=False)
+        changed |= before.is_null().to_numpy(zero_copy_only=False) != after.is_null().to_numpy(zero_copy_only=False)
+    return [0, *(np.flatnonzero(changed) + 1).tolist(), n]
+
+
+def _over_groups(signed: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], makes: list[Callable[[], kernels.Kernel]], fields: str, emit_partial: bool, trace: bool = False, tag: str | None = None) -> DataFrame:
+    """Bars of every group by each of ``makes``, all over the same batches; ``tag`` names the column that tells them apart."""
     ship(signed.sparkSession)
-    groups = [*keys, *[p for p in param_cols if p not in keys]]
-    out = StructType([signed.schema[k] for k in keys] + StructType.fromDDL(fields).fields)
+    out = StructType(([StructField(tag, IntegerType())] if tag else []) + [signed.schema[k] for k in keys] + StructType.fromDDL(fields).fields)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, kernel, rows = None, None, []
+        now: tuple | None = None
+        running: list[kernels.Kernel] = []
+        rows: list[tuple] = []
+
+        def add(i: int, found: list[tuple]) -> None:
+            head = (i, *now) if tag else now
+            rows.extend((*head, *r) for r in found)
 
         def finish() -> None:
-            if trace:
-                rows.extend((*now[: len(keys)], *r) for r in kernel.trace)
-            elif emit_partial:
-                rows.extend((*now[: len(keys)], *r) for r in kernel.partial())
+            for i, kernel in enumerate(running):
+                add(i, kernel.trace if trace else kernel.partial() if emit_partial else [])
 
         def batch_of() -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True)) if rows else [()] * len(arrow)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
         for batch in batches:
-            ids = [batch.column(g).to_pylist() for g in groups]
+            ids = [batch.column(k) for k in keys]
             cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("price", "ms", "net", "side", "qty")]
-            n = batch.num_rows
-            values = list(zip(*ids, strict=True))
-            at = 0
-            while at < n:
-                key = values[at]
-                stop = at + 1
-                if values[-1] == key:
-                    stop = n
-                else:
-                    while stop < n and values[stop] == key:
-                        stop += 1
+            borders = _borders(ids, batch.num_rows) if batch.num_rows else [0]
+            for at, stop in zip(borders, borders[1:], strict=False):
+                key = tuple(c[at].as_py() for c in ids)
                 if key != now:
                     if now is not None:
                         finish()
-                    now, kernel = key, make(dict(zip(groups, key, strict=True)))
-                closed = kernel.step(*[c[at:stop] for c in cols])
-                if not trace:
-                    rows.extend((*now[: len(keys)], *r) for r in closed)
-                at = stop
+                    now, running = key, [make() for make in makes]
+                for i, kernel in enumerate(running):
+                    closed = kernel.step(*[c[at:stop] for c in cols])
+                    if not trace:
+                        add(i, closed)
             if len(rows) > 10_000:
                 yield batch_of()
                 rows.clear()
@@ -79,7 +86,7 @@ def _over_groups(signed: DataFrame, keys: tuple[str, ...], order: tuple[str, ...
         if rows:
             yield batch_of()
 
-    needed = signed.select(*groups, *order, *[c for c in ("price", "net", "side", "qty") if c not in order])
+    needed = signed.select(*keys, *order, *[c for c in ("price", "net", "side", "qty") if c not in order])
     return needed.sortWithinPartitions(*keys, *order).mapInArrow(run, out)
 
 
@@ -96,17 +103,17 @@ def bars(trades: DataFrame, kind: str, params: dict | None = None, keys: tuple[s
     if float32:
         trades = trades.withColumns({c: F.col(c).cast("float").cast("double") for c in ("price", "qty", "quote_qty")})
     signed = with_side(trades, keys, order, convention, reset_key)
+    if reset_key:  # the rule's window deals by key and chunk, a kernel needs all chunks of its key
+        signed = signed.repartition(*keys)
     given = params or {}
-    return _over_groups(signed, keys, order, lambda _: cls(**given), fields, (), emit_partial, trace)
+    return _over_groups(signed, keys, order, [lambda: cls(**given)], fields, emit_partial, trace)
 
 
 def bars_sweep(trades: DataFrame, kind: str, grid: list[dict], order: tuple[str, ...] = ORDER, emit_partial: bool = False) -> DataFrame:
-    """Bars for each set of parameters, told apart by ``param_id`` (its place in ``grid``); all run side by side."""
+    """Bars for each set of parameters, told apart by ``param_id`` (its place in ``grid``); one shuffle and sort serve all of them."""
     cls, fields = KERNELS[kind]
-    ids = F.explode(F.array(*[F.lit(i) for i in range(len(grid))])).alias("param_id")
-    each = trades.select("*", ids)
-    signed = with_side(each, ("param_id", "symbol"), order)
-    return _over_groups(signed, ("param_id", "symbol"), order, lambda key: cls(**grid[key["param_id"]]), fields, (), emit_partial, False)
+    makes = [lambda given=given: cls(**given) for given in grid]
+    return _over_groups(with_side(trades, ("symbol",), order), ("symbol",), order, makes, fields, emit_partial, tag="param_id")
 
 
 def bars_from_ids(trades: DataFrame, keys: tuple[str, ...] = ("symbol",), bar_col: str = "bar_id", order: tuple[str, ...] = ORDER) -> DataFrame:
@@ -125,5 +132,3 @@ def tick_bars(trades: DataFrame, ticks: int, keys: tuple[str, ...] = ("symbol",)
     w = Window.partitionBy(*keys).orderBy(*order)
     signed = with_side(trades, keys, order).withColumn("bar_id", F.floor((F.row_number().over(w) - 1) / ticks))
     return bars_from_ids(signed, keys, "bar_id", order)
-
-

@@ -39,6 +39,23 @@ def month_gaps(df: DataFrame, time: str, keys: tuple[str, ...]) -> DataFrame:
     return g.select("*", (F.datediff("last_day", "first_day") + 1).alias("days_covered"), F.datediff("first_day", "month").alias("missing_head"), F.datediff(F.last_day("month"), "last_day").alias("missing_tail"))
 
 
+def since(df: DataFrame, time: str, year: int = 2017) -> DataFrame:
+    """Rows of ``year`` and later; earlier ones are corrupted times."""
+    return df.where(F.year(time) >= year)
+
+
+def before(df: DataFrame, day: str, today: Column | None = None) -> DataFrame:
+    """Days that are over: all before ``today`` (default: the session's current date)."""
+    return df.where(F.col(day) < (F.current_date() if today is None else today))
+
+
+def other_period(named: str, first: str, unit: str = "DD") -> Column:
+    """Whether a file's named period (day DD or month MM) isn't that of its first row."""
+    if unit == "DD":
+        return F.to_date(named) != F.to_date(first)
+    return F.trunc(named, unit) != F.trunc(first, unit)
+
+
 def is_weekend(day: Column) -> Column:
     return F.weekday(day).isin(5, 6)
 

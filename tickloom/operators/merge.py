@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def watermark(existing: DataFrame, time: str = "ms") -> DataFrame:
@@ -18,9 +18,9 @@ def newer(rows: DataFrame, existing: DataFrame, time: str = "ms", inclusive: boo
 
 
 def first_by(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The first row of each key in a total order: reproducible, unlike dropDuplicates."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """The first row of each key in a total order (ascending, nulls first): reproducible, unlike dropDuplicates, and combined before the shuffle."""
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    return rows.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("_first")).select("_first.*")
 
 
 def merge_incremental(existing: DataFrame, rows: DataFrame, keys: list[str], time: str = "ms", order: list[Column | str] | None = None, inclusive: bool = True) -> DataFrame:
@@ -42,8 +42,9 @@ def reconcile(ledger: DataFrame, data: DataFrame, on: list[str]) -> DataFrame:
 
 
 def verify(files: DataFrame, sums: DataFrame, on: str, content: str = "content", checksum: str = "checksum") -> DataFrame:
-    """Files with ``status``: ok, mismatch or unchecked (no checksum)."""
-    both = files.join(sums, on, "left").withColumn("actual", F.sha2(content, 256))
+    """Files without their content, with ``status``: ok, mismatch or unchecked (no checksum). Hashed where they are read: only hashes meet the sums."""
+    hashed = files.select(*[c for c in files.columns if c != content], F.sha2(content, 256).alias("actual"))
+    both = hashed.join(sums, on, "left")
     expected = F.lower(F.split(F.trim(checksum), r"\s+")[0])
     return both.withColumn("status", F.when(F.col(checksum).isNull(), "unchecked").when(expected == F.col("actual"), "ok").otherwise("mismatch"))
 

@@ -12,6 +12,8 @@ from ..trades import trades_ev, trades_ord
 THRESHOLD = 100_000.0
 ORDERS_THRESHOLD = 5_000_000.0
 VOLUME = 5_000.0
+#: Trades of a chunk, for the tick rule that starts afresh in each.
+CHUNK = 500
 IMBALANCE = {"init_ticks": 20, "alpha_ticks": 0.5, "alpha_imbalance": 0.5, "time_reset": 5.0}
 OLDER = {"init_t": 50_000.0, "alpha_volume": 0.5, "alpha_imbalance": 0.5}
 GRID = [{"threshold": 50_000.0}, {"threshold": 100_000.0}, {"threshold": 250_000.0}]
@@ -74,6 +76,24 @@ walk AS (
       FROM (SELECT s.symbol, s.rn, {CARRY}, w.et, w.dif, w.thr FROM walk w JOIN sg s ON s.symbol = w.symbol AND s.rn = w.rn + 1) x) y) z),
 {BAR_OF} """
 
+CHUNKED_SQL = STANDARD_SQL.replace(
+    "lag(price) OVER w AS before", f"lag(price) OVER (PARTITION BY symbol, trade_id // {CHUNK} ORDER BY ms, trade_id) AS before"
+).replace("OVER (PARTITION BY symbol ORDER BY ms, trade_id ROWS", f"OVER (PARTITION BY symbol, trade_id // {CHUNK} ORDER BY ms, trade_id ROWS")
+RUN_SQL = f"""WITH RECURSIVE {EV}, {SIGNED},
+walk AS (
+  SELECT symbol, 0::BIGINT AS rn, 0.0::DOUBLE AS th, 0.0::DOUBLE AS usd, 0.0::DOUBLE AS vol, 0.0::DOUBLE AS buy, 0 AS bar, false AS closed,
+    0::BIGINT AS start, NULL::DOUBLE AS et, NULL::DOUBLE AS sh, 50000.0::DOUBLE AS thr FROM (SELECT DISTINCT symbol FROM tr)
+  UNION ALL
+  SELECT z.symbol, z.rn, z.th, z.usd, z.vol, z.buy, z.bar, z.closed, z.start, z.et, z.sh,
+    CASE WHEN NOT z.closed THEN z.thr WHEN z.ms - z.start > 14400000.0 THEN 50000.0::DOUBLE ELSE z.et * z.sh END
+  FROM (SELECT y.* EXCLUDE (et, sh, share),
+      CASE WHEN NOT y.closed THEN y.et WHEN y.et IS NULL THEN y.usd ELSE y.et + 0.1::DOUBLE * (y.usd - y.et) END AS et,
+      CASE WHEN NOT y.closed THEN y.sh WHEN y.et IS NULL THEN y.share ELSE y.sh + 0.1::DOUBLE * (y.share - y.sh) END AS sh
+    FROM (SELECT x.*, greatest(x.buy, x.usd - x.buy) >= x.thr AS closed, CASE WHEN x.usd = 0 THEN 1.0 ELSE greatest(x.buy, x.usd - x.buy) / x.usd END AS share
+      FROM (SELECT s.symbol, s.rn, s.ms, {CARRY}, CASE WHEN w.closed OR w.rn = 0 THEN s.ms ELSE w.start END AS start, w.et, w.sh, w.thr
+        FROM walk w JOIN sg s ON s.symbol = w.symbol AND s.rn = w.rn + 1) x) y) z),
+{BAR_OF} SELECT {FIELDS} FROM shape WHERE closed"""
+
 
 def with_bars(query):
     """Queries over the standard bars of the event trades."""
@@ -95,6 +115,7 @@ QUERIES = {
     "volume_imbalance_params": lambda spark, d: bars(trades_ev(spark, d), "volume_imbalance", OLDER, trace=True),
     "bars_param_sweep": lambda spark, d: bars_sweep(trades_ev(spark, d), "standard", GRID).withColumn("param_id", F.col("param_id").cast("int")),
     "volume_bars": lambda spark, d: bars(trades_ev(spark, d), "volume", {"threshold": VOLUME}),
+    "standard_dollar_bars_chunked": lambda spark, d: bars(trades_ev(spark, d).withColumn("chunk", F.floor(F.col("trade_id") / CHUNK)), "standard", {"threshold": THRESHOLD}, reset_key="chunk"),
     "run_dollar_bars": lambda spark, d: bars(trades_ev(spark, d), "run", {"init_t": 50_000.0}),
     "tick_bars": lambda spark, d: rounded(tick_bars(trades_ev(spark, d), 100), ["theta_k", "total_volume_buy_usd", "total_volume_usd"], 4),
     "bar_ohlcv_from_ids": lambda spark, d: rounded(bars_from_ids(with_side(trades_ord(spark, d)).withColumn("bar_id", F.floor(F.col("trade_id") / 64))), ["theta_k", "total_volume_buy_usd", "total_volume_usd"], 2),
@@ -130,6 +151,8 @@ ORACLE = {
     "standard_dollar_bars": STANDARD_SQL,
     "standard_dollar_bars_partial": bars_sql(EV, f"x.usd >= {THRESHOLD}", f"SELECT {FIELDS} FROM shape"),
     "standard_dollar_bars_ties": bars_sql(ORD, f"x.usd >= {ORDERS_THRESHOLD}"),
+    "standard_dollar_bars_chunked": CHUNKED_SQL,
+    "run_dollar_bars": RUN_SQL,
     "volume_bars": bars_sql(EV, f"x.vol >= {VOLUME}"),
     "imbalance_dollar_bars": IMBALANCE_SQL,
     "imbalance_threshold": f'SELECT symbol, bar_id, "ewma_T" * ewma_imbalance AS thres FROM ({IMBALANCE_SQL})',

@@ -132,6 +132,42 @@ QUERIES = {
     "argmin_balance": lambda spark, d: analytics.balance(table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.count("*").cast("double").alias("a"), F.max("l_extendedprice").alias("b"), F.max("l_quantity").alias("c")), "l_returnflag", ["a", "b", "c"]).select("l_returnflag", F.round("score", 6).alias("score")),
 }
 
+
+
+def periods(spark, d):
+    """Files named by the day of their last order, with the day of their first: some differ."""
+    g = orders(spark, d).groupBy("o_custkey").agg(F.min("day").alias("first_day"), F.max("day").alias("named"))
+    return g.select("o_custkey", "first_day", "named")
+
+
+def stems(spark, d):
+    """Inputs and outputs by stem: an output for most inputs."""
+    k = F.col("o_orderkey")
+    inputs = orders(spark, d).select(F.concat(F.lit("T-"), F.date_format("day", "yyyy-MM-dd")).alias("stem")).distinct()
+    return inputs, orders(spark, d).where(k % 3 == 0).select(F.concat(F.lit("T-"), F.date_format("day", "yyyy-MM-dd")).alias("stem")).distinct()
+
+
+def archives(spark, d):
+    """A row per day: whether its archive has been checked and extracted."""
+    k = F.col("o_orderkey")
+    return orders(spark, d).groupBy("day").agg(F.bool_or(k % 2 == 0).alias("checked"), F.bool_or(k % 5 == 0).alias("csv"))
+
+
+def day_text(c="day"):
+    return F.date_format(c, "yyyy-MM-dd").alias(c)
+
+
+QUERIES |= {
+    "intersect_days": lambda spark, d: order_days(spark, d).where("symbol = '1-URGENT'").select("day").intersect(order_days(spark, d).where("symbol = '2-HIGH'").select("day")).select(day_text()),
+    "valid_years": lambda spark, d: calendar.since(orders(spark, d), "o_orderdate", 1995).groupBy("symbol").agg(F.count("*").alias("n"), F.date_format(F.min("day"), "yyyy-MM-dd").alias("first_day")),
+    "complete_days": lambda spark, d: calendar.before(order_days(spark, d), "day", F.lit("1998-01-01").cast("date")).groupBy("symbol").agg(F.count("*").alias("days"), F.date_format(F.max("day"), "yyyy-MM-dd").alias("last_day")),
+    "period_mismatch": lambda spark, d: periods(spark, d).where(calendar.other_period("named", "first_day", "MM")).select("o_custkey", day_text("named"), day_text("first_day")),
+    "outputs_missing": lambda spark, d: calendar.missing(*stems(spark, d), ["stem"]),
+    "archives_to_clean": lambda spark, d: archives(spark, d).where("csv and checked").select(day_text()),
+    "archives_to_extract": lambda spark, d: archives(spark, d).where("not csv").select(day_text()),
+    "download_queue": lambda spark, d: archives(spark, d).where("checked").select("day").union(archives(spark, d).where("csv").select("day")).distinct().select(day_text()),
+}
+
 DAYS = f"cal AS (SELECT unnest(generate_series(DATE '{FIRST}', DATE '{LAST}', INTERVAL 1 DAY))::DATE AS day)"
 OD = "od AS (SELECT DISTINCT o_orderpriority AS symbol, o_orderdate::DATE AS day FROM orders)"
 MONTHS = f"months AS (SELECT unnest(generate_series(DATE '{FIRST}', DATE '{LAST}', INTERVAL 1 MONTH))::DATE AS month), held AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS month FROM orders WHERE (month(o_orderdate) * 7 + year(o_orderdate)) % 5 <> 0), lost AS (SELECT month FROM months WHERE month NOT IN (SELECT month FROM held))"
@@ -176,3 +212,17 @@ ORACLE = {
     "checksum_verify": "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'unchecked' WHEN doc_id % 7 = 0 THEN 'mismatch' ELSE 'ok' END AS status FROM documents",
     "argmin_balance": "WITH g AS (SELECT l_returnflag, count(*)::DOUBLE AS a, max(l_extendedprice) AS b, max(l_quantity) AS c FROM lineitem GROUP BY 1) SELECT l_returnflag, round((a / min(a) OVER () + b / min(b) OVER () + c / min(c) OVER ()) / 3, 6) AS score FROM g",
 }
+
+AR = "ar AS (SELECT o_orderdate::DATE AS day, bool_or(o_orderkey % 2 = 0) AS checked, bool_or(o_orderkey % 5 = 0) AS csv FROM orders GROUP BY 1)"
+STEM = "'T-' || strftime(o_orderdate, '%Y-%m-%d') AS stem"
+
+ORACLE |= {
+    "intersect_days": f"WITH {OD} SELECT {D.format('day')} AS day FROM (SELECT day FROM od WHERE symbol = '1-URGENT' INTERSECT SELECT day FROM od WHERE symbol = '2-HIGH')",
+    "valid_years": "SELECT o_orderpriority AS symbol, count(*) AS n, strftime(min(o_orderdate), '%Y-%m-%d') AS first_day FROM orders WHERE year(o_orderdate) >= 1995 GROUP BY 1",
+    "complete_days": f"WITH {OD} SELECT symbol, count(*) AS days, strftime(max(day), '%Y-%m-%d') AS last_day FROM od WHERE day < DATE '1998-01-01' GROUP BY 1",
+    "period_mismatch": "WITH g AS (SELECT o_custkey, min(o_orderdate)::DATE AS first_day, max(o_orderdate)::DATE AS named FROM orders GROUP BY 1) SELECT o_custkey, strftime(named, '%Y-%m-%d') AS named, strftime(first_day, '%Y-%m-%d') AS first_day FROM g WHERE date_trunc('month', named) <> date_trunc('month', first_day)",
+    "outputs_missing": f"SELECT {STEM} FROM orders EXCEPT SELECT {STEM} FROM orders WHERE o_orderkey % 3 = 0",
+    "archives_to_clean": f"WITH {AR} SELECT {D.format('day')} AS day FROM ar WHERE csv AND checked",
+    "archives_to_extract": f"WITH {AR} SELECT {D.format('day')} AS day FROM ar WHERE NOT csv",
+    "download_queue": f"WITH {AR} SELECT {D.format('day')} AS day FROM ar WHERE checked UNION SELECT {D.format('day')} AS day FROM ar WHERE csv",
+}

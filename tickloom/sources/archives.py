@@ -9,9 +9,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.merge import verify
+from ..operators.merge import first_by, verify
 from ..ship import ship
-from .csv import typed
+from .csv import by_name, typed
 
 #: Two members whose sizes differ by less are the same file twice.
 SAME_SIZE = 0.10
@@ -85,12 +85,11 @@ def lines(archives: DataFrame) -> DataFrame:
 
 def read_archives(spark: SparkSession, path: str, missing_best_match: bool | None = False, verified: bool = True) -> DataFrame:
     """Trades of all archives under ``path`` with ``name``; an archive whose checksum differs is an error."""
-    found = checked(spark, path) if verified else files(spark, path)
     if verified:
-        bad = [r.name for r in found.where("status = 'mismatch'").select("name").limit(5).collect()]
+        bad = [r.name for r in checked(spark, path).where("status = 'mismatch'").select("name").limit(5).collect()]
         if bad:
             raise ValueError(f"checksums differ: {', '.join(bad)}")
-    text = lines(found)
-    trades = typed(text.select("name", F.split("value", ",").alias("f")), missing_best_match)
+    text = lines(files(spark, path))
+    trades = typed(by_name(text.select("name", F.split("value", ",").alias("f")), "name"), missing_best_match)
     # Members of one archive may overlap: each trade once.
-    return trades.dropDuplicates(["name", "trade_id"])
+    return first_by(trades, ["name", "trade_id"], [c for c in trades.columns if c not in ("name", "trade_id")])
