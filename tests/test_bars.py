@@ -118,3 +118,33 @@ def test_sweep_is_each_alone(spark):
     swept = bars_sweep(t, "standard", grid, emit_partial=True).orderBy("param_id", "bar_id").collect()
     alone = [(i, *r) for i, p in enumerate(grid) for r in bars(t, "standard", p, emit_partial=True).orderBy("bar_id").collect()]
     assert [tuple(r) for r in swept] == alone
+
+
+def test_tick_imbalance(spark):
+    """Against the rule, one trade at a time."""
+    n = 600
+    prices = [100.0 + (i * 7919 % 13) - (i * 104729 % 11) + i // 40 for i in range(n)]
+    t = spark.createDataFrame([("A", i, i * 1000, p, 1.0 + i % 5, p * (1.0 + i % 5)) for i, p in enumerate(prices)], "symbol string, trade_id long, ms long, price double, qty double, quote_qty double")
+    sides = [r.side for r in with_side(t).orderBy("trade_id").collect()]
+    want, flow, ticks, warm, limit, et, ei = [], 0, 0, True, 10.0, 10.0, 0.0
+    for i, s in enumerate(sides):
+        flow, ticks = flow + s, ticks + 1
+        if (ticks if warm else abs(flow)) >= limit:
+            et, ei = (float(ticks), abs(flow) / ticks) if warm else (et + 0.5 * (ticks - et), ei + 0.5 * (abs(flow) / ticks - ei))
+            want.append((i * 1000, ticks, et, ei))
+            flow, ticks, warm, limit = 0, 0, False, et * ei
+    got = bars(t.repartition(5), "tick_imbalance", {"init_ticks": 10, "alpha_ticks": 0.5, "alpha_imbalance": 0.5}).orderBy("bar_id").collect()
+    assert [(r.end_time, r.ticks, r["ewma_T"], r.ewma_imbalance) for r in got] == want and len(want) > 5
+
+
+def test_table_functions(spark):
+    """Every kind of bars in SQL equals its DataFrame form."""
+    from tickloom.operators import udtf
+
+    udtf.register(spark)
+    t = golden(spark)
+    with_side(t).createOrReplaceTempView("signed_all")
+    for kind, params in (("volume", {"threshold": 2.0}), ("run", {"init_t": 200.0}), ("volume_imbalance", {"init_t": 150.0}), ("tick_imbalance", {"init_ticks": 2.0}), ("imbalance", {"init_ticks": 2.0})):
+        args = ", ".join(f"{v}D" for v in params.values())
+        got = spark.sql(f"SELECT * FROM {kind}_bars(TABLE(SELECT symbol, trade_id, ms, price, net, side, qty FROM signed_all) PARTITION BY symbol ORDER BY (ms, trade_id), {args})").collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, bars(t, kind, params).collect())) and got

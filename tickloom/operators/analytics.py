@@ -23,3 +23,8 @@ def balance(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
     low = F.broadcast(df.agg(*[F.min(c).alias(f"_{c}") for c in columns]))  # one row
     total = sum(F.col(c) / F.col(f"_{c}") for c in columns)
     return df.join(low).select(name, *columns, (total / len(columns)).alias("score"))
+
+
+def iteration_means(runs: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """Means of repeated measurements, with their number."""
+    return runs.groupBy(*keys).agg(F.count("*").alias("iterations"), *[F.avg(F.col(m).cast("double")).alias(m) for m in measures])

@@ -24,6 +24,7 @@ KERNELS = {
     "standard": (kernels.Standard, schema.STANDARD_BARS),
     "volume": (kernels.Volume, schema.STANDARD_BARS),
     "imbalance": (kernels.Imbalance, schema.IMBALANCE_BARS),
+    "tick_imbalance": (kernels.TickImbalance, schema.IMBALANCE_BARS),
     "volume_imbalance": (kernels.VolumeImbalance, schema.VOLUME_IMBALANCE_BARS),
     "run": (kernels.Run, schema.STANDARD_BARS),
 }
@@ -93,7 +94,7 @@ def _over_groups(signed: DataFrame, keys: tuple[str, ...], order: tuple[str, ...
 def bars(trades: DataFrame, kind: str, params: dict | None = None, keys: tuple[str, ...] = ("symbol",), order: tuple[str, ...] = ORDER, emit_partial: bool = False, convention: str = "reference", reset_key: str | None = None, float32: bool = False, trace: bool = False) -> DataFrame:
     """Bars of every symbol.
 
-    kind: standard, volume, imbalance, volume_imbalance or run, with the parameters of its kernel.
+    kind: standard, volume, imbalance, tick_imbalance, volume_imbalance or run, with the parameters of its kernel.
     emit_partial: also the bar that is open at the end. float32: round prices and quantities first, as narrow files do.
     trace: in place of bars, what a volume_imbalance kernel has learnt after each.
     """

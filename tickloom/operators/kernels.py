@@ -54,7 +54,7 @@ class Kernel:
     def __init__(self):
         self.bar, self.count = Bar(), 0
 
-    def ends(self, net: np.ndarray, qty: np.ndarray) -> int:
+    def ends(self, net: np.ndarray, qty: np.ndarray, side: np.ndarray) -> int:
         """Index of the trade that closes the bar, -1 if none of these does."""
         raise NotImplementedError
 
@@ -68,7 +68,7 @@ class Kernel:
             look = LOOK
             while True:
                 stop = min(n, at + look)
-                end = self.ends(net[at:stop], qty[at:stop])
+                end = self.ends(net[at:stop], qty[at:stop], side[at:stop])
                 if end >= 0 or stop == n:
                     break
                 look *= 2
@@ -93,7 +93,7 @@ class Standard(Kernel):
         super().__init__()
         self.threshold = threshold
 
-    def ends(self, net, qty):
+    def ends(self, net, qty, side):
         sums = running(self.bar.usd, np.abs(net))
         at = int(np.searchsorted(sums, self.threshold, "left"))
         return at if at < len(sums) else -1
@@ -106,7 +106,7 @@ class Volume(Kernel):
         super().__init__()
         self.threshold = threshold
 
-    def ends(self, net, qty):
+    def ends(self, net, qty, side):
         at = int(np.searchsorted(running(self.bar.volume, qty), self.threshold, "left"))
         return at if at < len(qty) else -1
 
@@ -124,17 +124,24 @@ class Imbalance(Kernel):
         self.warm, self.threshold = True, float(init_ticks)
         self.ewma_t, self.ewma_imbalance = float(init_ticks), 0.0
 
-    def ends(self, net, qty):
+    def ends(self, net, qty, side):
         if self.warm:
             at = max(0, int(np.ceil(self.threshold)) - self.bar.ticks - 1)
             return at if at < len(net) else -1
-        over = np.abs(running(self.bar.theta, net)) >= self.threshold
+        over = np.abs(self.flows(net, side)) >= self.threshold
         at = int(over.argmax())
         return at if over[at] else -1
 
+    def flows(self, net, side):
+        """The bar's flow after each of these trades."""
+        return running(self.bar.theta, net)
+
+    def flow(self) -> float:
+        return self.bar.theta
+
     def closed(self):
         b = self.bar
-        flow = abs(b.theta)
+        flow = abs(self.flow())
         if self.warm:
             self.ewma_t, self.ewma_imbalance, self.warm = float(b.ticks), flow / b.ticks, False
         else:
@@ -151,6 +158,16 @@ class Imbalance(Kernel):
         return [(*r, self.ewma_t, self.ewma_imbalance) for r in super().partial()]
 
 
+class TickImbalance(Imbalance):
+    """Imbalance bars (an extension) whose flow is bought trades less sold ones, whatever their sizes."""
+
+    def flows(self, net, side):
+        return running(self.flow(), side)
+
+    def flow(self):
+        return float(2 * self.bar.ticks_buy - self.bar.ticks)
+
+
 class VolumeImbalance(Kernel):
     """The older variant: expectations in quote volume, seeded by the first bar (and again whenever the share is 1)."""
 
@@ -161,7 +178,7 @@ class VolumeImbalance(Kernel):
         self.threshold = init_t * abs(init_dif)
         self.trace: list[tuple] = []
 
-    def ends(self, net, qty):
+    def ends(self, net, qty, side):
         over = np.abs(running(self.bar.theta, net)) >= self.threshold
         at = int(over.argmax())
         return at if over[at] else -1
@@ -195,7 +212,7 @@ class Run(Kernel):
         self.alpha_volume, self.alpha_imbalance, self.reset_ms = alpha_volume, alpha_imbalance, 3_600_000.0 * time_reset
         self.expected = self.share = None
 
-    def ends(self, net, qty):
+    def ends(self, net, qty, side):
         buy = running(self.bar.buy, np.maximum(net, 0.0))
         usd = running(self.bar.usd, np.abs(net))
         over = np.maximum(buy, usd - buy) >= self.threshold

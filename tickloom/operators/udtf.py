@@ -9,9 +9,9 @@ import numpy as np
 from pyspark.sql import Row, SparkSession
 from pyspark.sql.functions import udtf
 
-from .. import schema
 from ..ship import ship
 from . import kernels
+from .bars import KERNELS
 
 PIECE = 4096
 
@@ -35,33 +35,26 @@ class _Bars:
         return [(self.symbol, *r) for r in self.kernel.step(price.astype(float), ms, net.astype(float), side, qty.astype(float))]
 
 
-class StandardBars(_Bars):
-    def __init__(self):
-        self.start(None)
+def table_function(kernel: type[kernels.Kernel]) -> type:
+    """A table function of a kernel; its arguments after the table are the kernel's parameters, in their order."""
 
-    def eval(self, row: Row, threshold: float):
-        if self.kernel is None:
-            self.kernel = kernels.Standard(float(threshold))
-        yield from self.add(row)
-
-    def terminate(self):
-        yield from self.flush()
+    class Bars(_Bars):
+        def __init__(self):
+            self.start(None)
 
+        def eval(self, row: Row, *params: float):
+            if self.kernel is None:
+                self.kernel = kernel(*[float(p) for p in params])
+            yield from self.add(row)
 
-class ImbalanceBars(_Bars):
-    def __init__(self):
-        self.start(None)
-
-    def eval(self, row: Row, init_ticks: float, alpha_ticks: float, alpha_imbalance: float, time_reset: float):
-        if self.kernel is None:
-            self.kernel = kernels.Imbalance(float(init_ticks), float(alpha_ticks), float(alpha_imbalance), float(time_reset))
-        yield from self.add(row)
+        def terminate(self):
+            yield from self.flush()
 
-    def terminate(self):
-        yield from self.flush()
+    return Bars
 
 
 def register(spark: SparkSession) -> None:
+    """``<kind>_bars`` for every kind of bars."""
     ship(spark)
-    spark.udtf.register("standard_bars", udtf(StandardBars, returnType=f"symbol string, {schema.STANDARD_BARS}"))
-    spark.udtf.register("imbalance_bars", udtf(ImbalanceBars, returnType=f"symbol string, {schema.IMBALANCE_BARS}"))
+    for kind, (kernel, fields) in KERNELS.items():
+        spark.udtf.register(f"{kind}_bars", udtf(table_function(kernel), returnType=f"symbol string, {fields}"))

@@ -50,21 +50,29 @@ def bars_sql(source: str, trigger: str, tail: str = "") -> str:
 
 
 STANDARD_SQL = bars_sql(EV, f"x.usd >= {THRESHOLD}")
-IMBALANCE_SQL = f"""WITH RECURSIVE {EV}, {SIGNED},
+
+
+def imbalance_sql(flow: str) -> str:
+    """Bars by the imbalance of ``flow``: th, the signed quote volume, or tk, bought trades less sold ones."""
+    return f"""WITH RECURSIVE {EV}, {SIGNED},
 walk AS (
-  SELECT symbol, 0::BIGINT AS rn, 0.0::DOUBLE AS th, 0.0::DOUBLE AS usd, 0.0::DOUBLE AS vol, 0.0::DOUBLE AS buy, 0 AS bar, false AS closed,
+  SELECT symbol, 0::BIGINT AS rn, 0.0::DOUBLE AS th, 0.0::DOUBLE AS usd, 0.0::DOUBLE AS vol, 0.0::DOUBLE AS buy, 0 AS bar, false AS closed, 0.0::DOUBLE AS tk,
     0::BIGINT AS n, 0::BIGINT AS start, 20.0::DOUBLE AS et, 0.0::DOUBLE AS ei, true AS warm, 20.0::DOUBLE AS thr FROM (SELECT DISTINCT symbol FROM tr)
   UNION ALL
-  SELECT z.symbol, z.rn, z.th, z.usd, z.vol, z.buy, z.bar, z.closed, z.n, z.start, z.et, z.ei,
+  SELECT z.symbol, z.rn, z.th, z.usd, z.vol, z.buy, z.bar, z.closed, z.tk, z.n, z.start, z.et, z.ei,
     CASE WHEN z.closed THEN z.ms - z.start > 18000000.0 ELSE z.warm END, CASE WHEN z.closed THEN CASE WHEN z.ms - z.start > 18000000.0 THEN 20.0 ELSE z.et * z.ei END ELSE z.thr END
   FROM (SELECT y.* EXCLUDE (et, ei),
       CASE WHEN NOT y.closed THEN y.et WHEN y.warm THEN y.n::DOUBLE ELSE y.et + 0.5 * (y.n - y.et) END AS et,
-      CASE WHEN NOT y.closed THEN y.ei WHEN y.warm THEN abs(y.th) / y.n ELSE y.ei + 0.5 * (abs(y.th) / y.n - y.ei) END AS ei
-    FROM (SELECT x.*, CASE WHEN x.warm THEN x.n ELSE abs(x.th) END >= x.thr AS closed
-      FROM (SELECT s.symbol, s.rn, s.ms, {CARRY}, CASE WHEN w.closed THEN 0 ELSE w.n END + 1 AS n, CASE WHEN w.closed OR w.n = 0 THEN s.ms ELSE w.start END AS start, w.et, w.ei, w.warm, w.thr
+      CASE WHEN NOT y.closed THEN y.ei WHEN y.warm THEN abs(y.{flow}) / y.n ELSE y.ei + 0.5 * (abs(y.{flow}) / y.n - y.ei) END AS ei
+    FROM (SELECT x.*, CASE WHEN x.warm THEN x.n ELSE abs(x.{flow}) END >= x.thr AS closed
+      FROM (SELECT s.symbol, s.rn, s.ms, {CARRY}, CASE WHEN w.closed THEN 0.0 ELSE w.tk END + s.side AS tk,
+          CASE WHEN w.closed THEN 0 ELSE w.n END + 1 AS n, CASE WHEN w.closed OR w.n = 0 THEN s.ms ELSE w.start END AS start, w.et, w.ei, w.warm, w.thr
         FROM walk w JOIN sg s ON s.symbol = w.symbol AND s.rn = w.rn + 1) x) y) z),
 {BAR_OF}
 SELECT {FIELDS}, e.et AS "ewma_T", e.ei AS ewma_imbalance FROM shape JOIN (SELECT symbol, rn, et, ei FROM walk) e USING (symbol) WHERE closed AND e.rn = shape.last_rn"""
+
+
+IMBALANCE_SQL = imbalance_sql("th")
 OLDER_WALK = f"""WITH RECURSIVE {EV}, {SIGNED},
 walk AS (
   SELECT symbol, 0::BIGINT AS rn, 0.0::DOUBLE AS th, 0.0::DOUBLE AS usd, 0.0::DOUBLE AS vol, 0.0::DOUBLE AS buy, 0 AS bar, false AS closed, 50000.0::DOUBLE AS et, 1.0::DOUBLE AS dif, 50000.0::DOUBLE AS thr FROM (SELECT DISTINCT symbol FROM tr)
@@ -111,6 +119,7 @@ QUERIES = {
     "standard_dollar_bars_partial": lambda spark, d: bars(trades_ev(spark, d), "standard", {"threshold": THRESHOLD}, emit_partial=True),
     "standard_dollar_bars_ties": lambda spark, d: bars(trades_ord(spark, d), "standard", {"threshold": ORDERS_THRESHOLD}),
     "imbalance_dollar_bars": lambda spark, d: bars(trades_ev(spark, d), "imbalance", IMBALANCE),
+    "tick_imbalance_bars": lambda spark, d: bars(trades_ev(spark, d), "tick_imbalance", IMBALANCE),
     "volume_imbalance_bars": lambda spark, d: bars(trades_ev(spark, d), "volume_imbalance", OLDER, emit_partial=True),
     "volume_imbalance_params": lambda spark, d: bars(trades_ev(spark, d), "volume_imbalance", OLDER, trace=True),
     "bars_param_sweep": lambda spark, d: bars_sweep(trades_ev(spark, d), "standard", GRID).withColumn("param_id", F.col("param_id").cast("int")),
@@ -155,6 +164,7 @@ ORACLE = {
     "run_dollar_bars": RUN_SQL,
     "volume_bars": bars_sql(EV, f"x.vol >= {VOLUME}"),
     "imbalance_dollar_bars": IMBALANCE_SQL,
+    "tick_imbalance_bars": imbalance_sql("tk"),
     "imbalance_threshold": f'SELECT symbol, bar_id, "ewma_T" * ewma_imbalance AS thres FROM ({IMBALANCE_SQL})',
     "volume_imbalance_bars": OLDER_WALK + "SELECT symbol, bar::BIGINT AS bar_id, start_time, end_time, open, high, low, close, theta_k AS imbalance_col, total_volume_buy_usd, total_volume_usd, total_volume FROM shape",
     "volume_imbalance_params": OLDER_WALK + "SELECT symbol, bar::BIGINT AS bar_id, et AS ewma_volume, dif AS ewma_dif, thr AS thres FROM walk WHERE closed",

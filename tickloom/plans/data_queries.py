@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..operators import analytics, calendar, merge
+from ..sources import footers, inventory, rolling
 from ..trades import table, trades_ev
 
 FIRST, LAST, MARK = "1995-01-01", "2001-08-01", "2024-01-20"
@@ -168,6 +169,35 @@ QUERIES |= {
     "download_queue": lambda spark, d: archives(spark, d).where("checked").select("day").union(archives(spark, d).where("csv").select("day")).distinct().select(day_text()),
 }
 
+PART = 200_000
+
+
+def day_files(spark, d):
+    """A file per symbol and day, whose size goes by its orders."""
+    name = F.concat(F.lit("T-"), F.date_format("day", "yyyy-MM-dd"))
+    return orders(spark, d).groupBy("symbol", name.alias("name")).agg((F.sum("o_orderkey") % 50_000 + 1_000).cast("long").alias("bytes"))
+
+
+def footer_bounds(spark, d):
+    """Rows and time bounds of the events by footers."""
+    f = footers.footers(spark, f"{d}/events.parquet", "ts")
+    return f.agg(F.sum("n_rows").alias("n_rows"), F.unix_millis(F.min("low")).alias("first_ms"), F.unix_millis(F.max("high")).alias("last_ms"))
+
+
+def iteration_means(spark, d):
+    m = analytics.iteration_means(table(spark, d, "lineitem"), ["l_returnflag"], ["l_quantity", "l_discount"])
+    return m.select("l_returnflag", "iterations", *[F.round(c, 6).alias(c) for c in ("l_quantity", "l_discount")])
+
+
+QUERIES |= {
+    "head_trades": lambda spark, d: inventory.head(events(spark, d), 100, ("ms", "trade_id")).select("symbol", "trade_id", "ms"),
+    "tail_trades": lambda spark, d: inventory.tail(events(spark, d), 1000, ("ms", "trade_id")).select("symbol", "trade_id", "ms"),
+    "footer_bounds": footer_bounds,
+    "rolling_parts": lambda spark, d: rolling.numbered(day_files(spark, d), PART),
+    "inventory_totals": lambda spark, d: day_files(spark, d).groupBy("symbol").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes")),
+    "iteration_means": iteration_means,
+}
+
 DAYS = f"cal AS (SELECT unnest(generate_series(DATE '{FIRST}', DATE '{LAST}', INTERVAL 1 DAY))::DATE AS day)"
 OD = "od AS (SELECT DISTINCT o_orderpriority AS symbol, o_orderdate::DATE AS day FROM orders)"
 MONTHS = f"months AS (SELECT unnest(generate_series(DATE '{FIRST}', DATE '{LAST}', INTERVAL 1 MONTH))::DATE AS month), held AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS month FROM orders WHERE (month(o_orderdate) * 7 + year(o_orderdate)) % 5 <> 0), lost AS (SELECT month FROM months WHERE month NOT IN (SELECT month FROM held))"
@@ -226,3 +256,22 @@ ORACLE |= {
     "archives_to_extract": f"WITH {AR} SELECT {D.format('day')} AS day FROM ar WHERE NOT csv",
     "download_queue": f"WITH {AR} SELECT {D.format('day')} AS day FROM ar WHERE checked UNION SELECT {D.format('day')} AS day FROM ar WHERE csv",
 }
+
+FILES = "files AS (SELECT o_orderpriority AS symbol, 'T-' || strftime(o_orderdate, '%Y-%m-%d') AS name, (sum(o_orderkey) % 50000 + 1000)::BIGINT AS bytes FROM orders GROUP BY ALL)"
+ROLLS = f"""WITH RECURSIVE {FILES}, f AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY name) AS rn FROM files),
+walk AS (
+  SELECT symbol, rn, 0::BIGINT AS number, 0.9::DOUBLE * bytes AS held FROM f WHERE rn = 1
+  UNION ALL
+  SELECT f.symbol, f.rn, w.number + (w.held + 0.9::DOUBLE * f.bytes > 0.95::DOUBLE * {PART})::INT,
+    CASE WHEN w.held + 0.9::DOUBLE * f.bytes > 0.95::DOUBLE * {PART} THEN 0.0::DOUBLE ELSE w.held END + 0.9::DOUBLE * f.bytes
+  FROM walk w JOIN f ON f.symbol = w.symbol AND f.rn = w.rn + 1)
+SELECT symbol, name, bytes, number FROM walk JOIN f USING (symbol, rn)"""
+
+ORACLE |= {
+    "head_trades": f"WITH {EV} SELECT symbol, trade_id, ms FROM ev ORDER BY ms, trade_id LIMIT 100",
+    "tail_trades": f"WITH {EV} SELECT symbol, trade_id, ms FROM ev ORDER BY ms DESC, trade_id DESC LIMIT 1000",
+    "footer_bounds": "SELECT count(*) AS n_rows, epoch_us(min(ts)) // 1000 AS first_ms, epoch_us(max(ts)) // 1000 AS last_ms FROM events",
+    "rolling_parts": ROLLS,
+    "inventory_totals": f"WITH {FILES} SELECT symbol, count(*) AS files, sum(bytes)::BIGINT AS bytes FROM files GROUP BY symbol",
+    "iteration_means": "SELECT l_returnflag, count(*) AS iterations, round(avg(l_quantity::DOUBLE), 6) AS l_quantity, round(avg(l_discount::DOUBLE), 6) AS l_discount FROM lineitem GROUP BY 1",
+}

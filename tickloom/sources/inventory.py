@@ -42,8 +42,8 @@ def synthetic_trades(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
     )
 
 
-def write_trades(trades: DataFrame, path: str, codec: str = "snappy", mode: str = "append", partition: bool = False) -> int:
-    """Write, read the row count back and compare; returns it."""
+def write_trades(trades: DataFrame, path: str, codec: str = "snappy", mode: str = "append", partition: bool = False, by: list[str] | None = None) -> int:
+    """Write, read the row count back and compare; returns it. ``partition``: by day; ``by``: by these columns."""
     if codec not in CODECS:
         raise ValueError(f"codec {codec}: one of {', '.join(CODECS)}")
     spark = trades.sparkSession
@@ -60,13 +60,45 @@ def write_trades(trades: DataFrame, path: str, codec: str = "snappy", mode: str
     if partition:
         out = out.withColumn("date", F.to_date("time"))
     writer = out.write.mode(mode).option("compression", codec)
-    (writer.partitionBy("date") if partition else writer).parquet(path)
+    folders = (by or []) + (["date"] if partition else [])
+    (writer.partitionBy(*folders) if folders else writer).parquet(path)
     now = spark.read.parquet(path).count()
     if now - before != seen.get["n"]:
         raise RuntimeError(f"{path}: wrote {seen.get['n']} rows, found {now - before}")
     return now
 
 
+def head(df: DataFrame, n: int, order: tuple[str, ...]) -> DataFrame:
+    """The first ``n`` rows in a total order; each task keeps ``n`` at most."""
+    return df.orderBy(*order).limit(n)
+
+
+def tail(df: DataFrame, n: int, order: tuple[str, ...]) -> DataFrame:
+    """The last ``n`` rows in a total order."""
+    return df.orderBy(*[F.desc(c) for c in order]).limit(n)
+
+
+def write_failed(entries: DataFrame, path: str) -> None:
+    """The dates of a ledger that failed, one per line, in order."""
+    failed = entries.where(F.col("status").isin("failed", "processing_failed")).select(F.col("date").alias("value")).distinct()
+    failed.orderBy("value").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_bars(bars: DataFrame, folder: str, kind: str, stamp: str, codec: str = "snappy", **tags: str) -> str:
+    """Bars of one run in a folder of their own, named by kind and time; tags become columns. Returns its path."""
+    for k, v in tags.items():
+        bars = bars.withColumn(k, F.lit(v))
+    path = f"{folder.rstrip('/')}/{kind}_{stamp}"
+    write_trades(bars, path, codec, "error")
+    return path
+
+
+def read_bars(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+    """The bars of all runs of a kind, with ``run``, the folder that they are from."""
+    df = spark.read.option("mergeSchema", True).parquet(f"{folder.rstrip('/')}/{kind}_*")
+    return df.withColumn("run", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+
+
 def compact(spark: SparkSession, source: str, target: str, max_bytes: int = 10 << 30, codec: str = "snappy", ratio: float = 0.9) -> int:
     """Rewrite many files as few, in order of time, each of about ``max_bytes``; the source stays. Returns the rows."""
     total = listing(spark, source, "*.parquet").agg(F.sum("length")).first()[0] or 0
