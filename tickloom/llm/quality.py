@@ -139,20 +139,21 @@ def distance(x: list[Column]) -> Column:
 
 def with_factor(moments: DataFrame, scale: float, keys: list[str]) -> DataFrame:
     """Means and cross products (columns m_i, c_ij) -> means, the inverse Cholesky factor of the floored covariance, and the logarithm of its determinant."""
-    df = moments
+    # One select whose later columns read earlier ones, as text: a column at a time, the driver would analyse 42 plans.
+    steps = []
     for i in range(P):
         for j in range(i + 1):
-            cov = (F.col(f"c{i}{j}") - F.col(M[i]) * F.col(M[j])) * scale
+            cov = f"(c{i}{j} - {M[i]} * {M[j]}) * {scale!r}D"
             if i == j:
-                cov = F.greatest(cov, F.lit(0.0)) + FLOORS[i]
-            inner = reduce(lambda a, b: a - b, [F.col(f"f{i}{k}") * F.col(f"f{j}{k}") for k in range(j)], cov)
-            df = df.withColumn(f"f{i}{j}", F.sqrt(F.greatest(inner, F.lit(1e-6))) if i == j else inner / F.col(f"f{j}{j}"))
+                cov = f"greatest({cov}, 0.0D) + {FLOORS[i]!r}D"
+            inner = " - ".join([cov, *[f"f{i}{k} * f{j}{k}" for k in range(j)]])
+            steps.append(f"sqrt(greatest({inner}, 1e-6D)) AS f{i}{j}" if i == j else f"({inner}) / f{j}{j} AS f{i}{j}")
     for i in range(P):
         for j in range(i + 1):
-            known = reduce(lambda a, b: a - b, [F.col(f"f{i}{k}") * F.col(L[k, j]) for k in range(j, i)], F.lit(1.0 if i == j else 0.0))
-            df = df.withColumn(L[i, j], known / F.col(f"f{i}{i}"))
-    log_det = reduce(lambda a, b: a + b, [2 * F.log(F.col(f"f{i}{i}")) for i in range(P)])
-    return df.select(*keys, *M, *L.values(), log_det.alias("log_det"))
+            known = " - ".join(["1.0D" if i == j else "0.0D", *[f"f{i}{k} * {L[k, j]}" for k in range(j, i)]])
+            steps.append(f"({known}) / f{i}{i} AS {L[i, j]}")
+    log_det = " + ".join(f"2 * ln(f{i}{i})" for i in range(P))
+    return moments.selectExpr(*keys, *M, *steps, f"{log_det} AS log_det").select(*keys, *M, *L.values(), "log_det")
 
 
 def groups(stats: DataFrame) -> DataFrame:
