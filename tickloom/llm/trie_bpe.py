@@ -16,6 +16,7 @@ import hashlib
 import json
 import re
 from array import array
+from functools import lru_cache
 
 import ahocorasick
 import regex
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from .arrow import map_texts, text_rows
-from .chunks import LONGEST, RunCache, blank_runs, lowered, word_and_marks
+from .chunks import LONGEST, blank_runs, lowered, word_and_marks
 
 END = "</w>"
 #: One character in place of the end mark while suffixes are looked up.
@@ -44,8 +45,10 @@ def byte_alphabet() -> dict[int, str]:
 class WordBpe:
     """Encoder for a vocabulary of words with an end mark, read from a tokenizers JSON file."""
 
-    #: Distinct words that are remembered from batch to batch.
-    KEPT = 600_000
+    #: Distinct runs that are remembered; beyond it the encoder starts afresh. Long ones never are.
+    KEPT = 800_000
+    #: Pairs of tokens whose border is remembered.
+    BORDERS = 1_000_000
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -77,7 +80,10 @@ class WordBpe:
         self.words = regex.compile(SPLIT)
         self.stand_in = {b: c for b, c in byte_alphabet().items()}
         self.stable: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.spoken = {i: f"{t} ".encode() for i, t in self.names.items()}
+        #: Run -> value, see ``learn``; words and marks that make up a run are runs as well.
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.long: list[str] = []
 
     # -- the trie walk ----------------------------------------------------------------------------------------
 
@@ -104,7 +110,7 @@ class WordBpe:
                 a, a_until = self.parts[a][1], made_a
             else:
                 b, b_until = self.parts[b][0], made_b
-        if len(self.stable) > 2_000_000:
+        if len(self.stable) > self.BORDERS:
             self.stable.clear()
         self.stable[u, t] = ok
         return ok
@@ -181,42 +187,79 @@ class WordBpe:
 
     def split(self, run: str) -> list[str]:
         """The words of a run that holds no special string, as byte stand-ins."""
-        own = word_and_marks(run)
-        if own is not None and run.isascii():
-            return [x for x in own if x]
         if not PLAIN.fullmatch(run):  # letters and blanks as the library's version of Unicode has them
             return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(run))]
         s = self.stand_in
         return ["".join([s[b] for b in w.encode()]) for w in self.words.findall("".join([c.lower() for c in run]) if "İ" in run else run.lower())]
 
-    def encode_runs(self, runs: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each run between blanks. Words that aren't remembered are encoded together, in one walk."""
+    def spell(self, word: str) -> str:
+        return word if word.isascii() else "".join([self.stand_in[b] for b in word.encode()])
+
+    def value(self, ids) -> tuple[bytes, bytes]:
+        return array("I", ids).tobytes(), b"".join([self.spoken[i] for i in ids])
+
+    def learn(self, runs: set[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Values of all ``runs`` (and of others): their ids as bytes, their tokens in UTF-8 with a blank after each.
+
+        What isn't remembered is encoded together, in one walk. The values hold until the next call.
+        """
         known = self.known
+        for run in self.long:
+            del known[run]
         if len(known) > self.KEPT:
             known.clear()
-        parts: list[list[int | str]] = []
-        new: set[str] = set()
-        for run in runs:
-            own: list[int | str] = []
+        new = runs.difference(known)
+        self.long = [r for r in new if len(r) > LONGEST]
+        words: set[str] = set()
+        marked: list[tuple[str, str, str]] = []
+        odd: list[tuple[str, list[int | str]]] = []
+        spelt: set[str] = set()  # words as byte stand-ins
+        for run in new:
+            own = word_and_marks(run)
+            if own is not None:
+                words.add(own[0])
+                if own[1]:
+                    words.add(own[1])
+                    marked.append((run, *own))
+                continue
+            parts: list[int | str] = []
             for piece in self.special_split.split(run) if "<|" in run else (run,):
                 if piece in self.special:
-                    own.append(self.special[piece])
+                    parts.append(self.special[piece])
                 elif piece:
-                    own += self.split(piece)
-            parts.append(own)
-            new.update([x for x in own if x not in known and not isinstance(x, int)])
-        fresh = self.encode_words(list(new))
-        known.update(fresh)
-        out = [known[x[0]] if len(x) == 1 and isinstance(x[0], str) else tuple([i for w in x for i in ((w,) if isinstance(w, int) else known[w])]) for x in parts]
-        for w in [w for w in fresh if len(w) > 2 * LONGEST]:
-            del known[w]
-        return out
+                    parts += self.split(piece)
+            odd.append((run, parts))
+            spelt.update([x for x in parts if not isinstance(x, int)])
+        words.difference_update(known)
+        spelling = {w: self.spell(w) for w in words}
+        spelt.update(spelling.values())
+        fresh = {w: self.value(ids) for w, ids in self.encode_words(list(spelt)).items()}
+        for word, own in spelling.items():
+            known[word] = fresh[own]
+        for run, word, marks in marked:
+            (a, b), (c, d) = known[word], known[marks]
+            known[run] = a + c, b + d
+        for run, parts in odd:
+            values = [self.value([x]) if isinstance(x, int) else fresh[x] for x in parts]
+            known[run] = b"".join([v[0] for v in values]), b"".join([v[1] for v in values])
+        return known
+
+    def encode_runs(self, runs: list[str]) -> list[tuple[int, ...]]:
+        """Ids of each run between blanks."""
+        known = self.learn(set(runs))
+        return [tuple(array("I", known[r][0])) for r in runs]
 
     def decode(self, ids) -> str:
         """As a tokenizer without a decoder does: the tokens' own strings with a blank between."""
         return " ".join([self.names[i] for i in ids])
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> WordBpe:
+    """One encoder in each Python worker, which later tasks find with what it remembers."""
+    return WordBpe(path)
+
+
 def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """Encode every whole text and decode it again.
 
@@ -226,17 +269,11 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     extra = ", ids array<int>, decoded string" if keep_ids else ""
 
     def make():
-        bpe = WordBpe(tokenizer_path)
-        names = bpe.names
-
-        def fill(runs):
-            return [(array("I", ids).tobytes(), "".join([names[i] + " " for i in ids]).encode()) for ids in bpe.encode_runs(runs)]
-
-        known = RunCache(fill)
+        bpe = encoder(tokenizer_path)
 
         def work(_, texts):
             split = [blank_runs(lowered(t)) for t in texts]
-            known.ready(set().union(*split))
+            known = bpe.learn(set().union(*split))
             n, ids_hash, text_hash, all_ids, all_text = [], [], [], [], []
             for runs in split:
                 values = [known[r] for r in runs]
@@ -248,7 +285,6 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 if keep_ids:
                     all_ids.append(array("i", ids).tolist())
                     all_text.append(text.decode())
-            known.tidy()
             return [n, ids_hash, text_hash, *([all_ids, all_text] if keep_ids else [])]
 
         return work
