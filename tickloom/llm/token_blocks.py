@@ -26,6 +26,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -165,8 +166,8 @@ class RunIds(dict):
     Plain words and the marks after them go to the library's model alone, all other runs through all of its steps.
     """
 
-    #: Distinct runs and distinct words that are remembered.
-    RUNS, WORDS = 300_000, 500_000
+    #: Distinct runs that are remembered; words and marks that make up a run are runs as well.
+    KEPT = 800_000
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
@@ -177,21 +178,16 @@ class RunIds(dict):
         self.library.no_padding()
         self.model = self.library.model.tokenize
         self.stand_in = byte_alphabet()
-        self.words: dict[str, bytes] = {"": b""}
-
-    def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            own = word if word.isascii() else "".join([self.stand_in[b] for b in word.encode()])
-            ids = self.words[word] = array("I", [t.id for t in self.model(own)]).tobytes()
-        return ids
 
     def __missing__(self, run: str) -> bytes:
         own = word_and_marks(run)
         if own is None:
             ids = array("I", self.library.encode(run, add_special_tokens=False).ids).tobytes()
+        elif own[1]:
+            ids = self[own[0]] + self[own[1]]
         else:
-            ids = self.word(own[0]) + self.word(own[1])
+            word = run if run.isascii() else "".join([self.stand_in[b] for b in run.encode()])
+            ids = array("I", [t.id for t in self.model(word)]).tobytes()
         if len(run) <= LONGEST:
             self[run] = ids
         return ids
@@ -201,10 +197,14 @@ class RunIds(dict):
         return b"".join(map(self.__getitem__, blank_runs(lowered(text))))
 
     def tidy(self) -> None:
-        if len(self) > self.RUNS:
+        if len(self) > self.KEPT:
             self.clear()
-        if len(self.words) > self.WORDS:
-            self.words = {"": b""}
+
+
+@lru_cache(maxsize=1)
+def run_ids(tokenizer_path: str) -> RunIds:
+    """One encoder in each Python worker, which later tasks find with what it remembers."""
+    return RunIds(tokenizer_path)
 
 
 def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -220,7 +220,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in slices(batch):
-                known = known or RunIds(tokenizer_path)
+                known = run_ids(tokenizer_path) if known is None else known
                 own = [known.text(t) + end for t in part.column("text").to_pylist()]
                 known.tidy()
                 n_tokens = np.array([len(x) // 4 for x in own])
