@@ -21,6 +21,25 @@ def test_sides(spark):
     assert [r.side for r in with_side(chunk, reset_key="chunk").orderBy("trade_id").collect()] == [1, 1, -1, 1, 1, 1, -1]
 
 
+@pytest.mark.parametrize("convention", ["reference", "standard"])
+def test_sides_by_blocks(spark, convention):
+    """Blocks without a change, of one trade and of null prices, null and many symbols, repeated prices at borders."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for symbol in ("A", "B", None, ""):
+        ms = np.sort(rng.integers(0, 40_000, 400))
+        price = np.repeat(rng.integers(99, 102, 100), 4).astype(float).tolist()
+        rows += [(symbol, i, int(m), None if i % 97 == 5 else p, 1.0, 2.0, int(m) // 15_000) for i, (m, p) in enumerate(zip(ms, price))]
+    rows += [("B", 1000, None, 100.0, 1.0, 2.0, 0), ("C", 1, 5, 1.0, 1.0, 2.0, 0)]
+    t = spark.createDataFrame(rows, "symbol string, trade_id long, ms long, price double, qty double, quote_qty double, chunk int").repartition(5)
+    for reset in (None, "chunk"):
+        want = with_side(t, convention=convention, reset_key=reset)
+        for width in (7, 1000, 10**9):
+            got = with_side(t, convention=convention, reset_key=reset, block=F.floor(F.col("ms") / width))
+            assert got.columns == want.columns and got.count() == len(rows) and got.exceptAll(want).isEmpty()
+    assert with_side(t.where("false"), block=F.col("ms")).count() == 0
+
+
 def test_standard(spark):
     got = [tuple(r)[1:] for r in bars(golden(spark, 3), "standard", {"threshold": 300.0}, emit_partial=True).orderBy("bar_id").collect()]
     assert got == [

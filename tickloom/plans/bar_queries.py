@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import analytics
 from ..operators.bars import bars, bars_from_ids, bars_sweep, tick_bars
-from ..operators.tick_rule import with_side
+from ..operators.tick_rule import day, with_side
 from ..trades import trades_ev, trades_ord
 
 THRESHOLD = 100_000.0
@@ -49,6 +49,7 @@ def bars_sql(source: str, trigger: str, tail: str = "") -> str:
     return f"WITH RECURSIVE {source}, {SIGNED}, {simple_walk(trigger)}, {BAR_OF} " + (tail or f"SELECT {FIELDS} FROM shape WHERE closed")
 
 
+SIDES_SQL = f"WITH {EV}, {SIGNED} SELECT symbol, trade_id, side::INT AS side FROM sg"
 STANDARD_SQL = bars_sql(EV, f"x.usd >= {THRESHOLD}")
 
 
@@ -114,6 +115,7 @@ def rounded(df, columns, digits=6):
 
 QUERIES = {
     "tick_rule_side": lambda spark, d: with_side(trades_ev(spark, d)).select("symbol", "trade_id", F.col("side").cast("int").alias("side")),
+    "tick_rule_side_by_days": lambda spark, d: with_side(trades_ev(spark, d), block=day()).select("symbol", "trade_id", F.col("side").cast("int").alias("side")),
     "net_volume": lambda spark, d: with_side(trades_ev(spark, d)).select("symbol", "trade_id", "net"),
     "standard_dollar_bars": lambda spark, d: bars(trades_ev(spark, d), "standard", {"threshold": THRESHOLD}),
     "standard_dollar_bars_partial": lambda spark, d: bars(trades_ev(spark, d), "standard", {"threshold": THRESHOLD}, emit_partial=True),
@@ -155,7 +157,8 @@ SUMS = """min(ms) AS start_time, max(ms) AS end_time, arg_min(price, (ms, trade_
 round(sum(net), {0}) AS theta_k, round(sum(CASE WHEN side > 0 THEN net ELSE 0.0 END), {0}) AS total_volume_buy_usd, round(sum(abs(net)), {0}) AS total_volume_usd, sum(qty) AS total_volume, count(*) AS ticks, count(*) FILTER (WHERE side > 0) AS ticks_buy"""
 
 ORACLE = {
-    "tick_rule_side": f"WITH {EV}, {SIGNED} SELECT symbol, trade_id, side::INT AS side FROM sg",
+    "tick_rule_side": SIDES_SQL,
+    "tick_rule_side_by_days": SIDES_SQL,
     "net_volume": f"WITH {EV}, {SIGNED} SELECT symbol, trade_id, net FROM sg",
     "standard_dollar_bars": STANDARD_SQL,
     "standard_dollar_bars_partial": bars_sql(EV, f"x.usd >= {THRESHOLD}", f"SELECT {FIELDS} FROM shape"),
