@@ -20,16 +20,16 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about SLICE_BYTES of text, one row at least."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` bytes of text, one row at least."""
     mean = max(1, batch.column(column).nbytes // max(1, batch.num_rows))
-    step = max(1, SLICE_BYTES // mean)
+    step = max(1, size // mean)
     for at in range(0, batch.num_rows, step):
         yield batch.slice(at, step)
 
 
-def map_texts(rows: DataFrame, schema: StructType | str, make: Callable[[], Callable[[list, list[str]], Sequence[Any]]]) -> DataFrame:
-    """Apply ``make()(ids, texts)`` to every slice of ``rows`` (id, text); it returns the columns after ``id``.
+def map_texts(rows: DataFrame, schema: StructType | str, make: Callable[[], Callable[[list, list[str]], Sequence[Any]]], size: int = SLICE_BYTES) -> DataFrame:
+    """Apply ``make()(ids, texts)`` to every slice (of about ``size`` bytes) of ``rows`` (id, text); it returns the columns after ``id``.
 
     ``make`` runs once in each Python worker task, so models load there and nowhere else.
     """
@@ -43,7 +43,7 @@ def map_texts(rows: DataFrame, schema: StructType | str, make: Callable[[], Call
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=size):
                 work = work or make()
                 ids = part.column("id")
                 columns = work(ids.to_pylist(), part.column("text").to_pylist())

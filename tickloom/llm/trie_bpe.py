@@ -16,7 +16,6 @@ import hashlib
 import json
 import re
 from array import array
-from functools import lru_cache
 
 import ahocorasick
 import regex
@@ -35,6 +34,10 @@ PLAIN = re.compile("[!-~\u00a1-\u024f]*")
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+#: Text bytes whose runs are held at a time.
+SLICE = 1 << 20
+
+
 def byte_alphabet() -> dict[int, str]:
     """The printable stand-in of each byte in byte-level vocabularies: printable Latin-1 as is, the rest from U+0100 on."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
@@ -46,7 +49,7 @@ class WordBpe:
     """Encoder for a vocabulary of words with an end mark, read from a tokenizers JSON file."""
 
     #: Distinct runs that are remembered; beyond it the encoder starts afresh. Long ones never are.
-    KEPT = 800_000
+    KEPT = 400_000
     #: Pairs of tokens whose border is remembered.
     BORDERS = 1_000_000
 
@@ -254,12 +257,6 @@ class WordBpe:
         return " ".join([self.names[i] for i in ids])
 
 
-@lru_cache(maxsize=1)
-def encoder(path: str) -> WordBpe:
-    """One encoder in each Python worker, which later tasks find with what it remembers."""
-    return WordBpe(path)
-
-
 def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """Encode every whole text and decode it again.
 
@@ -269,7 +266,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     extra = ", ids array<int>, decoded string" if keep_ids else ""
 
     def make():
-        bpe = encoder(tokenizer_path)
+        bpe = WordBpe(tokenizer_path)
 
         def work(_, texts):
             split = [blank_runs(lowered(t)) for t in texts]
@@ -289,5 +286,5 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
         return work
 
-    out = map_texts(text_rows(docs, id_col, text_col), f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}", make)
+    out = map_texts(text_rows(docs, id_col, text_col), f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}", make, SLICE)
     return out
